@@ -1,0 +1,20 @@
+"""Small sides of joins."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+BROADCAST_ROWS = 10_000
+
+
+def small_side(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` with a broadcast hint when it has at most ``most`` rows, else ``df`` itself.
+
+    At most ``most + 1`` narrow rows are fetched for the check. A table that passes it is used
+    from these rows, so it is computed once.
+    """
+    rows = df.limit(most + 1).collect()
+    if len(rows) > most:
+        return df
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
