@@ -58,19 +58,6 @@ def joined(values: Column | str, separator: str = ",") -> Column:
     return F.concat_ws(separator, F.transform(values, lambda v: v.cast("string")))
 
 
-# Landed files and tables are written once per session and scale factor.
-_WRITTEN: dict[tuple[str, str, str], str] = {}
-
-
-def _once(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], object]) -> str:
-    key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _WRITTEN:
-        path = scratch_dir(spark, name)
-        write(path)
-        _WRITTEN[key] = path
-    return _WRITTEN[key]
-
-
 def _landed(spark: SparkSession, sf_dir: str) -> str:
     """Root with the raw export of all fixture tickets as one day."""
 
@@ -79,11 +66,11 @@ def _landed(spark: SparkSession, sf_dir: str) -> str:
         options = {**exports.RAW_OPTIONS, **exports.KEEP_BLANKS}
         raw.write.options(**options).csv(exports.day_folder(root, "raw", DAY))
 
-    return _once(spark, sf_dir, "landing", write)
+    return fixtures.written_once(spark, sf_dir, "landing", write)
 
 
 def _ticket_table(spark: SparkSession, sf_dir: str) -> str:
-    return _once(
+    return fixtures.written_once(
         spark,
         sf_dir,
         "tickets",
@@ -92,7 +79,7 @@ def _ticket_table(spark: SparkSession, sf_dir: str) -> str:
 
 
 def _vector_table(spark: SparkSession, sf_dir: str) -> str:
-    return _once(
+    return fixtures.written_once(
         spark,
         sf_dir,
         "vectors",
@@ -106,7 +93,7 @@ def _backfilled(spark: SparkSession, sf_dir: str) -> str:
             spark, _ticket_table(spark, sf_dir), fixtures.photos(spark, sf_dir), path, "2024-01-01"
         )
 
-    return _once(spark, sf_dir, "backfill", write)
+    return fixtures.written_once(spark, sf_dir, "backfill", write)
 
 
 def _dashboard(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -143,7 +130,7 @@ def load_processed_csv(spark, sf_dir):
     def write(path):
         exports.export_csv(fixtures.tickets(spark, sf_dir).drop("doc_id"), path)
 
-    path = _once(spark, sf_dir, "processed", write)
+    path = fixtures.written_once(spark, sf_dir, "processed", write)
     return plain(exports.load_processed_csv(spark, f"{path}/*.csv"))
 
 
@@ -168,7 +155,7 @@ def read_outlines(spark, sf_dir):
         writer = box.select(F.col("district").alias("name"), polygon).write.format("xml")
         writer.options(rootTag="Document", rowTag="Placemark").save(path)
 
-    found = outlines.read_outlines(spark, _once(spark, sf_dir, "outlines", write))
+    found = outlines.read_outlines(spark, fixtures.written_once(spark, sf_dir, "outlines", write))
     points = found.select("name", joined("color").alias("color"), F.posexplode("location"))
     return points.select("name", "color", F.col("pos"), F.col("col.lon"), F.col("col.lat"))
 

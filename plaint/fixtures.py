@@ -6,6 +6,8 @@ id decides which fields are blank, missing or malformed. Nothing here is used by
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -15,7 +17,7 @@ from pyspark.sql import functions as F
 from plaint.functions import vector
 from plaint.operators.transform import transform_tickets
 from plaint.schemas import COMPONENTS, RAW_COLUMNS
-from plaint.session import pin
+from plaint.session import pin, scratch_dir
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,7 +32,33 @@ def _photo_url(number: Column) -> Column:
     return F.concat(F.lit("http://img.example.com/"), _text(number), F.lit(".jpg"))
 
 
+# Derived files and tables are written once per session and scale factor.
+_WRITTEN: dict[tuple[str, str, str], str] = {}
+
+
+def written_once(
+    spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], object]
+) -> str:
+    """The folder that ``write`` filled on the first call."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _WRITTEN:
+        path = scratch_dir(spark, name)
+        write(path)
+        _WRITTEN[key] = path
+    return _WRITTEN[key]
+
+
 def raw_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``derived_tickets`` from a table, so that queries do not repeat its joins."""
+
+    def write(path: str) -> None:
+        tasks = spark.sparkContext.defaultParallelism
+        derived_tickets(spark, sf_dir).repartition(tasks).write.parquet(path)
+
+    return pin(spark).read.parquet(written_once(spark, sf_dir, "raw-tickets", write))
+
+
+def derived_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 16 text columns of the export, and ``doc_id`` as the key of a test row."""
     documents = table(spark, sf_dir, "documents")
     events = table(spark, sf_dir, "events")

@@ -18,6 +18,7 @@ from plaint.functions import text as texts
 from plaint.functions import vector
 from plaint.operators.filters import NO_BYTES, NO_ID, NO_URL, present
 from plaint.operators.joins import left_join
+from plaint.operators.small import small_side
 
 Embedder = Callable[[list], Sequence]
 Factory = Callable[[], Embedder]
@@ -25,6 +26,7 @@ Factory = Callable[[], Embedder]
 TEXT_WIDTH = 64
 PHOTO_WIDTH = 64
 BATCH = 128  # values per call of an embedder
+WANTED = 100_000  # urls of photos that are broadcast
 
 _RESULT = "struct<vector: array<double>, error: string>"
 
@@ -97,7 +99,9 @@ def embed(
                 names=["vector", "error"],
             )
 
-    done = df.withColumn("_embedded", kernel(F.col(column)))
+    # Without this, a filter on the result is pushed below and the model runs again for it.
+    embedded = kernel.asNondeterministic()
+    done = df.withColumn("_embedded", embedded(F.col(column)))
     return done.withColumns(
         {output: F.col("_embedded.vector"), f"{output}_error": F.col("_embedded.error")}
     ).drop("_embedded")
@@ -162,13 +166,13 @@ def vectorize_tickets(
     """Add ``vector`` and ``reject_reason``; exactly one of them is NULL in every row.
 
     Each photo is embedded once, however many tickets show it, and only photos that a ticket
-    shows. What is shuffled to the tickets is the vector, not the bytes. Text is embedded only
+    shows: few wanted urls are broadcast, so the photo table is not shuffled for them. What is shuffled to the tickets is the vector, not the bytes. Text is embedded only
     for tickets whose photo gave a vector. Rows keep their place: an id that occurs n times gives
     n rows. ``parallelism`` spreads the tickets before the text model, since one day's file may
     be a single split.
     """
     wanted = tickets.filter(present("ticket_id") & present("photo"))
-    wanted = wanted.select(F.col("photo").alias("url")).distinct()
+    wanted = small_side(wanted.select(F.col("photo").alias("url")).distinct(), WANTED)
     usable = photos.filter(present("url") & (F.octet_length("content") > 0))
     shown = usable.join(wanted, "url", "left_semi")
     if parallelism:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plaint.functions import color, vector
@@ -16,25 +16,25 @@ from plaint.schemas import COMPONENTS
 SPREAD = 1_024
 
 
-def _spread(key: str, part: Column) -> Column:
-    """0 for rows with a key, and one of 1,024 parts for rows without one."""
-    return F.when(present(key), F.lit(0)).otherwise(F.pmod(part, F.lit(SPREAD)).cast("int"))
-
-
 def left_join(
     left: DataFrame, rights: Sequence[DataFrame], key: str, spread_by: Sequence[str]
 ) -> DataFrame:
     """Left joins on ``key`` with right sides that have no blank key.
 
     Rows of the left without a key match nothing, but hashed by key alone they would all meet in
-    one task, and a third of the tickets may be among them. A second join column, drawn from
-    ``spread_by``, spreads them. All joins share the one shuffle of the left.
+    one task, and a third of the tickets may be among them. They get one of 1,024 stand-in keys
+    drawn from ``spread_by``; the second condition keeps a stand-in from ever matching. All joins
+    share the one shuffle of the left. Keys that many tickets have are left to AQE, which splits
+    skewed partitions.
     """
-    part = F.xxhash64(*spread_by)
-    joined = left.withColumn("_part", _spread(key, part))
+    part = F.pmod(F.xxhash64(*spread_by), F.lit(SPREAD)).cast("string")
+    stand_in = F.when(present(key), F.col(key)).otherwise(part)
+    joined = left.withColumn("_key", stand_in)
     for right in rights:
-        joined = joined.join(right.withColumn("_part", F.lit(0)), [key, "_part"], "left")
-    return joined.drop("_part")
+        other = right.withColumnRenamed(key, "_match")
+        same = (F.col("_key") == F.col("_match")) & (F.col(key) == F.col("_match"))
+        joined = joined.join(other, same, "left").drop("_match")
+    return joined.drop("_key")
 
 
 def join_vectors(todo: DataFrame, vectors: DataFrame, key: str = "ticket_id") -> DataFrame:
