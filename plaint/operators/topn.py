@@ -19,8 +19,7 @@ from plaint.functions.sampling import draw
 DIRECT = 10_000  # up to here, Spark's top-k alone
 ENOUGH = 4  # stop narrowing once at most this many times n rows are left
 
-HOUR = 3_600
-MICROS = 1_000_000
+HOUR = 3_600  # seconds
 LAST = 2**62  # time bucket of rows without a time: behind all others
 
 
@@ -77,16 +76,13 @@ def newest(
     """
     tie = draw("tie", list(ties))
     if n > direct:
-        micros = F.unix_micros(moment)
-
-        def age(unit: int) -> Column:
-            return F.coalesce(-F.floor(micros / F.lit(unit)), F.lit(LAST))
-
-        buckets = [age(HOUR * MICROS), F.coalesce(-micros, F.lit(LAST)), *_digits(tie)]
-        df, bounds = _narrow(df, n, buckets)
+        seconds, micros = F.unix_seconds(moment), F.unix_micros(moment)
+        hour = seconds - F.pmod(seconds, F.lit(HOUR))
+        buckets = [F.coalesce(-age, F.lit(LAST)) for age in (hour, micros)]
+        df, bounds = _narrow(df, n, [*buckets, *_digits(tie)])
         if bounds and bounds[0] != LAST:
             # The same bound on the bare column, which the scan can use to skip row groups.
-            df = df.filter(F.col(moment) >= F.timestamp_seconds(F.lit(-bounds[0] * HOUR)))
+            df = df.filter(F.col(moment) >= F.timestamp_seconds(F.lit(-bounds[0])))
     order = [F.desc_nulls_last(moment), tie, *[F.asc_nulls_last(name) for name in ties]]
     return df.orderBy(*order).limit(n)
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,6 +35,11 @@ def dashboard_scan(
     return topn.newest(columns, n, ties=("id",), direct=direct)
 
 
+def load_dashboard(clustered: DataFrame, n: int = DASHBOARD_ROWS) -> DataFrame:
+    """The dashboard rows, persisted for the reports that share them (at most n narrow rows)."""
+    return dashboard_scan(clustered, n).persist(StorageLevel.MEMORY_AND_DISK)
+
+
 @dataclass
 class ClusterReport:
     bars: DataFrame
@@ -96,7 +102,7 @@ def cluster_report(
     summarizer: summaries.Summarizer | None = None,
     identity: Sequence[str] = IDENTITY,
 ) -> ClusterReport:
-    """All parts of the cluster page. Persist ``dashboard``, which all of them read."""
+    """All parts of the cluster page. ``dashboard`` comes from ``load_dashboard``."""
     return ClusterReport(
         cluster_bars(dashboard),
         cluster_scatter(dashboard),
@@ -141,7 +147,7 @@ def map_report(
     n: int = MAP_POINTS,
     identity: Sequence[str] = IDENTITY,
 ) -> MapReport:
-    """All parts of the map page. Persist ``dashboard``, which all of them read."""
+    """All parts of the map page. ``dashboard`` comes from ``load_dashboard``."""
     return MapReport(
         map_points(dashboard, clusters, n, identity),
         aggregates.map_center(filter_clusters(dashboard, clusters)),

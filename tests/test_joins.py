@@ -1,0 +1,133 @@
+from __future__ import annotations
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from plaint.operators import aggregates, filters, joins, small
+from plaint.schemas import COMPONENTS
+
+SCHEMA = "ticket_id string, timestamp timestamp, photo string, n int"
+
+
+def tickets(spark, ids):
+    rows = [(t, None, f"p{i}", i) for i, t in enumerate(ids)]
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+def predictions(spark, ids):
+    clusters = spark.createDataFrame([(t, i) for i, t in enumerate(ids)], "ticket_id string, cluster int")
+    components = spark.createDataFrame(
+        [(t, 1.0, 2.0, 3.0) for t in ids], "ticket_id string, PC1 double, PC2 double, PC3 double"
+    )
+    return clusters, components
+
+
+def test_repeated_ids_multiply(spark):
+    ids = ["a", "b", "b", "c", "c", "c"]
+    found = joins.join_clusters_components(tickets(spark, ids), *predictions(spark, ids))
+    counts = {r.ticket_id: r["count"] for r in found.groupBy("ticket_id").count().collect()}
+    assert counts == {"a": 1, "b": 8, "c": 27}
+    pairs = joins.join_vectors(tickets(spark, ids), predictions(spark, ids)[0])
+    counts = {r.ticket_id: r["count"] for r in pairs.groupBy("ticket_id").count().collect()}
+    assert counts == {"a": 1, "b": 4, "c": 9}
+
+
+def test_rows_without_an_id_stay_once_with_nulls(spark):
+    ids = ["a", None, "", "", None, "z", "0", "17"]
+    right = ["a", "", None, "", "17"]
+    found = joins.join_clusters_components(tickets(spark, ids), *predictions(spark, right))
+    assert found.columns == ["ticket_id", "timestamp", "photo", "n", "cluster", *COMPONENTS]
+    by_row = {r.n: (r.ticket_id, r.cluster, r.PC2) for r in found.collect()}
+    assert len(by_row) == found.count() == 8
+    assert by_row[0] == ("a", "0", 2.0) and by_row[7] == ("17", "4", 2.0)
+    assert all(by_row[i] == (ids[i], None, None) for i in range(1, 7))
+
+
+def test_rows_without_an_id_are_spread_over_the_tasks(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        left = tickets(spark, [None if i % 3 else "" for i in range(4_000)])
+        right = spark.createDataFrame([("a", 1)], "ticket_id string, v int")
+        found = joins.left_join(left, [right], "ticket_id", ["n"])
+        sizes = found.groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(sizes) == 8 and max(r["count"] for r in sizes) < 800
+
+
+def test_two_joins_shuffle_the_left_once(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = joins.join_clusters_components(tickets(spark, ["a"]), *predictions(spark, ["a"]))
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning") == 3
+
+
+def test_assign_clusters(spark):
+    frame = spark.createDataFrame([([0.0, 1.0],), ([5.0, 5.0],), (None,)], "vector array<double>")
+    found = joins.assign_clusters(frame, ["1", "2"], np.array([[0.0, 0.0], [4.0, 4.0]]))
+    assert [r.cluster for r in found.collect()] == ["1", "2", None]
+
+
+def test_unknown_and_missing_clusters_are_gray(spark):
+    frame = spark.createDataFrame([("1",), ("7",), ("x",), (None,)], "cluster string")
+    palette = aggregates.palette(frame.filter("cluster = '1'"))
+    found = {r.cluster: r.color for r in joins.color_points(frame, palette).collect()}
+    assert found == {
+        "1": [31, 119, 180, 255],
+        "7": [128, 128, 128, 255],
+        "x": [128, 128, 128, 255],
+        None: [128, 128, 128, 255],
+    }
+
+
+def test_palette_follows_text_order(spark):
+    frame = spark.createDataFrame([(str(i),) for i in range(1, 13)], "cluster string")
+    found = aggregates.palette(frame).orderBy("position").collect()
+    assert [r.cluster for r in found] == ["1", "10", "11", "12", *map(str, range(2, 10))]
+    assert found[9].color == found[11].color == [23, 190, 207, 255]
+
+
+def test_large_tables_are_not_broadcast(spark):
+    frame = spark.range(100)
+    assert "broadcast" in small.small_side(frame, 100)._jdf.queryExecution().logical().toString()
+    assert small.small_side(frame, 99) is frame
+
+
+def test_large_and_small_palettes_color_alike(spark, monkeypatch):
+    frame = spark.createDataFrame([(str(i % 12),) for i in range(60)] + [(None,)], "cluster string")
+    palette = aggregates.palette(frame)
+    one = sorted(map(str, joins.color_points(frame, palette).collect()))
+    monkeypatch.setattr(joins, "small_side", lambda df: df)
+    assert sorted(map(str, joins.color_points(frame, palette).collect())) == one
+
+
+def test_empty_selection_shows_all(spark):
+    frame = spark.createDataFrame([("1",), ("2",), ("x",), (None,)], "cluster string")
+    assert [r.cluster for r in filters.filter_clusters(frame, [2]).collect()] == ["2"]
+    for nothing in ([], [9]):
+        assert filters.filter_clusters(frame, nothing).count() == 4
+
+
+def test_blank_filters(spark):
+    frame = spark.createDataFrame([("a", "p"), ("", "p"), (None, "p"), ("b", ""), ("c", None)], "t string, p string")
+    assert [r.t for r in filters.has_value(frame, ["t", "p"]).collect()] == ["a"]
+    assert [r.t for r in filters.not_blank_keep_null(frame, ["t", "p"]).collect()] == ["a", None, "c"]
+    assert [r.t for r in filters.id_present(frame, "t").collect()] == ["a", "b", "c"]
+
+
+def test_map_counts(spark):
+    frame = spark.createDataFrame([("1",), ("1",), ("2",), (None,)], "cluster string")
+    assert tuple(aggregates.map_counts(frame, [1], 100).first()) == (2, 4, 1, 2)
+    assert tuple(aggregates.map_counts(frame, [], 3).first()) == (3, 4, 0, 2)
+    assert tuple(aggregates.map_counts(frame.limit(0), [1], 100).first()) == (0, 0, 1, 0)
+
+
+def test_samples_hold_blank_for_null_and_prompts_list_them(spark):
+    frame = spark.createDataFrame([("t1", "1", None), ("t2", None, "x")], "ticket_id string, cluster string, comment string")
+    found = aggregates.cluster_prompt(aggregates.cluster_samples(frame), "Say:").collect()
+    assert [(r.cluster, r.comments, r.prompt) for r in found] == [("1", [""], "Say:\n\n- ")]
