@@ -488,7 +488,7 @@ ORACLES: dict[str, str] = {
         "raw",
         f"""select doc_id, {_CLEAN} as cleaned,
           coalesce(substr(comment, 1, 200), '') || '…' as short_comment,
-          '- ' || coalesce(substr(comment, 1, 20), '') || '…' as bullet,
+          '- ' || {_CLEAN} as bullet,
           coalesce(photo, '') as photo, split_part(coords, ',', 1) as first_part,
           case when contains(coords, ',') then split_part(coords, ',', 2) end as second_part
         from raw""",

@@ -451,7 +451,7 @@ def text_functions(spark, sf_dir):
         "doc_id",
         text.one_line("comment").alias("cleaned"),
         text.short_comment("comment").alias("short_comment"),
-        text.bullet_line(text.short_comment("comment", 20)).alias("bullet"),
+        text.bullet_line(text.one_line("comment")).alias("bullet"),
         text.or_blank("photo").alias("photo"),
         typing.part("coords", 0).alias("first_part"),
         typing.part("coords", 1).alias("second_part"),

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from plaint.functions.columns import column
 
 # The characters that end a line, the length of a short comment and its ending.
-LINE_ENDS = r"[\r\n\x85\u2028\u2029]+"
+LINE_ENDS = r"[\r\n\x85\u2028-\u2029]+"
 SHORT_LENGTH = 200
 SHORT_ENDING = "…"
 

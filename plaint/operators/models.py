@@ -56,37 +56,45 @@ def fit_pca(
     return Pipeline(stages=[scaler, pca]).fit(_features(df, vector))
 
 
-def _transform(df: DataFrame, model: PipelineModel, vector: str) -> tuple[DataFrame, Column]:
-    """The model's columns beside ``df``, and where its input was there.
+def _with_features(df: DataFrame, model: PipelineModel, vector: str) -> DataFrame:
+    """Add the model's input. A missing vector goes in as zeros, because a model cannot take NULL;
+    ``_usable`` blanks what comes out."""
+    zeros = F.array_repeat(F.lit(0.0), len(model.stages[0].mean))
+    return df.withColumn("features", array_to_vector(F.coalesce(F.col(vector), zeros)))
 
-    A missing vector goes through as zeros, because the model cannot take NULL; the caller blanks
-    the result.
-    """
-    width = len(model.stages[0].mean)
-    zeros = F.array_repeat(F.lit(0.0), width)
-    features = array_to_vector(F.coalesce(F.col(vector), zeros))
-    usable = present("ticket_id") & F.col(vector).isNotNull()
-    return model.transform(df.withColumn("features", features)), usable
+
+def _usable(vector: str) -> Column:
+    """Only rows with an id and a vector get a prediction."""
+    return present("ticket_id") & F.col(vector).isNotNull()
+
+
+def _clusters(df: DataFrame, model: PipelineModel, vector: str) -> DataFrame:
+    cluster = F.when(_usable(vector), (F.col("prediction") + 1).cast("string"))
+    return model.transform(df).withColumn("cluster", cluster).drop("scaled", "prediction")
+
+
+def _scores(df: DataFrame, model: PipelineModel, vector: str) -> DataFrame:
+    scores = vector_to_array("scores")
+    added = {name: F.when(_usable(vector), F.get(scores, i)) for i, name in enumerate(COMPONENTS)}
+    return model.transform(df).withColumns(added).drop("centered", "scores")
 
 
 def predict_clusters(df: DataFrame, model: PipelineModel, vector: str = "vector") -> DataFrame:
     """Add ``cluster``, the id of the nearest center from 1 as text; NULL for rows without an id."""
-    done, usable = _transform(df, model, vector)
-    cluster = F.when(usable, (F.col("prediction") + 1).cast("string"))
-    return done.withColumn("cluster", cluster).drop("features", "scaled", "prediction")
+    return _clusters(_with_features(df, model, vector), model, vector).drop("features")
 
 
 def project_components(df: DataFrame, model: PipelineModel, vector: str = "vector") -> DataFrame:
     """Add PC1, PC2, PC3; NULL for rows without an id. Their signs are arbitrary."""
-    done, usable = _transform(df, model, vector)
-    scores = vector_to_array("scores")
-    added = {name: F.when(usable, F.get(scores, i)) for i, name in enumerate(COMPONENTS)}
-    return done.withColumns(added).drop("features", "centered", "scores")
+    return _scores(_with_features(df, model, vector), model, vector).drop("features")
 
 
-def predict(df: DataFrame, kmeans: PipelineModel, pca: PipelineModel) -> DataFrame:
+def predict(
+    df: DataFrame, kmeans: PipelineModel, pca: PipelineModel, vector: str = "vector"
+) -> DataFrame:
     """Cluster and components in place: no self-join, no shuffle, one row per input row."""
-    return project_components(predict_clusters(df, kmeans), pca)
+    done = _clusters(_with_features(df, kmeans, vector), kmeans, vector)
+    return _scores(done, pca, vector).drop("features")
 
 
 def centers(model: PipelineModel) -> tuple[list[str], np.ndarray]:
