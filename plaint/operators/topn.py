@@ -58,9 +58,21 @@ def _narrow(df: DataFrame, n: int, buckets: Sequence[Column]) -> tuple[DataFrame
     return (df if keep is None else df.filter(keep)), bounds
 
 
-def _digits(hashed: Column) -> list[Column]:
-    """Ever longer beginnings of a hash: 65,536 buckets, and 65,536 in each of these."""
-    return [F.substring(hashed, 1, length) for length in (4, 8)]
+def _row_hash(df: DataFrame) -> Column:
+    """Orders rows that tie in all else, so that a retry or another partitioning keeps the same."""
+    return F.xxhash64(*df.columns)
+
+
+def _draws(drawn: Column, row: Column) -> list[Column]:
+    """Buckets of a drawn order: 65,536 by the draw, 65,536 in each of these, and as many again
+    of the row's own hash, for rows that share one draw."""
+    return [*[F.substring(drawn, 1, length) for length in (4, 8, 32)], F.shiftright(row, 48)]
+
+
+def _first(df: DataFrame, n: int, drawn: Column, before: Sequence[Column] = ()) -> DataFrame:
+    """The first n rows by ``before``, then as drawn. The draw is computed once per row."""
+    ordered = df.withColumn("_drawn", drawn).orderBy(*before, "_drawn", _row_hash(df))
+    return ordered.limit(n).drop("_drawn")
 
 
 def newest(
@@ -72,19 +84,18 @@ def newest(
 ) -> DataFrame:
     """The n newest rows, newest first; rows without a time come last.
 
-    Rows of one instant are ordered by a hash of ``ties`` and then by ``ties``.
+    Rows of one instant are ordered by a hash of ``ties``.
     """
     tie = draw("tie", list(ties))
     if n > direct:
         seconds, micros = F.unix_seconds(moment), F.unix_micros(moment)
         hour = seconds - F.pmod(seconds, F.lit(HOUR))
         buckets = [F.coalesce(-age, F.lit(LAST)) for age in (hour, micros)]
-        df, bounds = _narrow(df, n, [*buckets, *_digits(tie)])
+        df, bounds = _narrow(df, n, [*buckets, *_draws(tie, _row_hash(df))])
         if bounds and bounds[0] != LAST:
             # The same bound on the bare column, which the scan can use to skip row groups.
             df = df.filter(F.col(moment) >= F.timestamp_seconds(F.lit(-bounds[0])))
-    order = [F.desc_nulls_last(moment), tie, *[F.asc_nulls_last(name) for name in ties]]
-    return df.orderBy(*order).limit(n)
+    return _first(df, n, tie, [F.desc_nulls_last(moment)])
 
 
 def cap_rows(
@@ -93,7 +104,7 @@ def cap_rows(
     """The first n rows in ``order``; all rows when n is None."""
     if n is None:
         return df
-    return df.orderBy(*[F.asc_nulls_last(name) for name in order]).limit(n)
+    return df.orderBy(*[F.asc_nulls_last(name) for name in order], _row_hash(df)).limit(n)
 
 
 def order_counts(counts: DataFrame, key: str = "cluster") -> DataFrame:
@@ -114,8 +125,8 @@ def sample_n(
     """
     drawn = draw(seed, list(identity))
     if n > direct:
-        df, _ = _narrow(df, n, _digits(drawn))
-    return df.orderBy(drawn, *[F.asc_nulls_last(name) for name in identity]).limit(n)
+        df, _ = _narrow(df, n, _draws(drawn, _row_hash(df)))
+    return _first(df, n, drawn)
 
 
 def sample_per_group(
@@ -133,7 +144,7 @@ def sample_per_group(
     the group is first cut into 256 parts by its hash.
     """
     drawn = draw(seed, list(identity))
-    order = [drawn, *[F.asc_nulls_last(name) for name in identity]]
+    order = [drawn, _row_hash(df)]
     groups = df.filter(F.col(key).isNotNull())
     threshold = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
     if n > threshold:
