@@ -558,6 +558,17 @@ ORACLES: dict[str, str] = {
             'select doc_id, ["PC1", "PC2", "PC3"] as vector from scores join tickets using (doc_id)',
         ),
     ),
+    "component_norms": _with(
+        "vectors",
+        """, middle as (
+          select list(m order by i) as mean
+          from (select i, avg(v) as m
+                from (select generate_subscripts(vector, 1) as i, unnest(vector) as v from vectors)
+                group by i))
+        select doc_id, round(list_sum(list_transform(list_zip(vector, mean),
+          lambda z: (z[1] - z[2]) * (z[1] - z[2]))), 6) + 0.0::double as squares
+        from vectors cross join middle""",
+    ),
     "summarize_clusters": _with(
         "vector_means", _CENTRAL.format(key="doc_id", vectors="vectors", means="vector_means")
     ),
@@ -574,6 +585,12 @@ ORACLES: dict[str, str] = {
         ),
     ),
     "backfill_vectors": _with("complete", _cells("ticket_id", "vector", "select * from complete")),
+    "refresh_clusters": _with(
+        "vectors",
+        f"""select {_TICKET_COLUMNS}, len(vector)::int as width,
+          coalesce(ticket_id <> '', false) as clustered,
+          case when ticket_id <> '' then 3 else 0 end as scores from vectors""",
+    ),
     "cluster_report_bars": _with(
         "clustered palette",
         """select cluster, "count", printf('#%02x%02x%02x', color[1], color[2], color[3]) as bar_color

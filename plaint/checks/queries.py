@@ -571,6 +571,16 @@ def project_components(spark, sf_dir):
     return found.select("doc_id", *COMPONENTS)
 
 
+@query
+def component_norms(spark, sf_dir):
+    """All components together keep each row's distance from the mean, whatever their signs."""
+    rows = fixtures.ticket_vectors(spark, sf_dir).withColumn("ticket_id", F.col("address"))
+    width = rows.select(F.size("vector")).first()[0]
+    found = models.component_scores(rows, models.fit_pca(rows, n=width))
+    squares = F.aggregate("scores", F.lit(0.0), lambda total, s: total + s * s)
+    return found.select("doc_id", rounded(squares).alias("squares"))
+
+
 @query
 def summarize_clusters(spark, sf_dir):
     rows = fixtures.ticket_vectors(spark, sf_dir).drop("ticket_id")
@@ -619,10 +629,17 @@ def backfill_vectors(spark, sf_dir):
 
 @query
 def refresh_clusters(spark, sf_dir):
+    """The published table; of what the models give, whether it is there and in range."""
     found = jobs.refresh_clusters(
         spark, _vector_table(spark, sf_dir), scratch_dir(spark, "published"), "1"
     )
-    return plain(found.drop("vector"))
+    clustered = F.coalesce(F.col("cluster").cast("int").between(1, models.CLUSTERS), F.lit(False))
+    return plain(found).select(
+        *TICKET_COLUMNS,
+        F.size("vector").alias("width"),
+        clustered.alias("clustered"),
+        F.array_size(F.array_compact(F.array(*COMPONENTS))).alias("scores"),
+    )
 
 
 @query

@@ -74,9 +74,13 @@ def _clusters(df: DataFrame, model: PipelineModel, vector: str) -> DataFrame:
 
 
 def _scores(df: DataFrame, model: PipelineModel, vector: str) -> DataFrame:
-    scores = vector_to_array("scores")
-    added = {name: F.when(_usable(vector), F.get(scores, i)) for i, name in enumerate(COMPONENTS)}
-    return model.transform(df).withColumns(added).drop("centered", "scores")
+    scores = F.when(_usable(vector), vector_to_array("scores"))
+    return model.transform(df).withColumn("scores", scores).drop("centered")
+
+
+def _named_scores(df: DataFrame) -> DataFrame:
+    added = {name: F.get("scores", i) for i, name in enumerate(COMPONENTS)}
+    return df.withColumns(added).drop("scores")
 
 
 def predict_clusters(df: DataFrame, model: PipelineModel, vector: str = "vector") -> DataFrame:
@@ -84,9 +88,14 @@ def predict_clusters(df: DataFrame, model: PipelineModel, vector: str = "vector"
     return _clusters(_with_features(df, model, vector), model, vector).drop("features")
 
 
+def component_scores(df: DataFrame, model: PipelineModel, vector: str = "vector") -> DataFrame:
+    """Add ``scores``, the projection on every fitted component; NULL for rows without an id."""
+    return _scores(_with_features(df, model, vector), model, vector).drop("features")
+
+
 def project_components(df: DataFrame, model: PipelineModel, vector: str = "vector") -> DataFrame:
     """Add PC1, PC2, PC3; NULL for rows without an id. Their signs are arbitrary."""
-    return _scores(_with_features(df, model, vector), model, vector).drop("features")
+    return _named_scores(component_scores(df, model, vector))
 
 
 def predict(
@@ -94,7 +103,7 @@ def predict(
 ) -> DataFrame:
     """Cluster and components in place: no self-join, no shuffle, one row per input row."""
     done = _clusters(_with_features(df, kmeans, vector), kmeans, vector)
-    return _scores(done, pca, vector).drop("features")
+    return _named_scores(_scores(done, pca, vector).drop("features"))
 
 
 def centers(model: PipelineModel) -> tuple[list[str], np.ndarray]:

@@ -53,10 +53,11 @@ def _vectorize(todo: DataFrame, photos: DataFrame, table: str, landed: str, **op
     counts = staged.agg(
         F.count(F.lit(1)).alias("fetched"), F.count_if(accepted).alias("accepted")
     ).first()
+    rejects = staged.filter(~accepted).drop("vector") if counts.fetched else None
     if counts.accepted == 0:
-        return Vectorized(counts.fetched, 0, staged.filter(~accepted) if counts.fetched else None)
+        return Vectorized(counts.fetched, 0, rejects)
     written = tables.append_vectors(staged.filter(accepted), table, landed)
-    return Vectorized(counts.fetched, written, staged.filter(~accepted).drop("vector"))
+    return Vectorized(counts.fetched, written, rejects)
 
 
 def daily_vectorize(

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from plaint.operators import aggregates, filters, joins, small
@@ -131,3 +132,34 @@ def test_samples_hold_blank_for_null_and_prompts_list_them(spark):
     frame = spark.createDataFrame([("t1", "1", None), ("t2", None, "x")], "ticket_id string, cluster string, comment string")
     found = aggregates.cluster_prompt(aggregates.cluster_samples(frame), "Say:").collect()
     assert [(r.cluster, r.comments, r.prompt) for r in found] == [("1", [""], "Say:\n\n- ")]
+
+
+SKEW = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+}
+
+
+@pytest.mark.parametrize("joined", [1, 2])
+def test_a_frequent_key_is_split(spark, joined):
+    """A third of the rows share one id; AQE splits its partition, also before a second join."""
+    ids = ["hot" if i % 3 == 0 else f"t{i}" for i in range(9_000)]
+    left = tickets(spark, ids).repartition(12)
+    others = sorted(set(ids))
+    rights = [
+        spark.createDataFrame([(t, k) for t in others], f"ticket_id string, v{k} int") for k in range(joined)
+    ]
+    for key, value in SKEW.items():
+        spark.conf.set(key, value)
+    try:
+        found = joins.left_join(left, rights, "ticket_id", ["n"])
+        rows = found.collect()
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key in SKEW:
+            spark.conf.unset(key)
+    assert len(rows) == 9_000 and all(r[f"v{k}"] == k for r in rows for k in range(joined))
+    assert "skew=true" in plan

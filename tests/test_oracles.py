@@ -8,7 +8,7 @@ import __spark_entry__ as entry
 from check_queries import compare, compare_types, connect
 
 SF_DIR = "/root/testdata/sf0.001"
-ROWS_ONLY = {"predict_clusters", "project_components", "refresh_clusters"}
+ROWS_ONLY = {"predict_clusters", "project_components"}
 
 
 @pytest.fixture(scope="module")
