@@ -52,8 +52,10 @@ def decode_entities(text: Column | str) -> Column:
         decoded = [None if t is None else html.unescape(t) for t in texts.to_pylist()]
         return pa.array(decoded, pa.string())
 
+    # Without this, a filter on the result is pushed below and every text goes to Python twice.
+    decode = unescape.asNondeterministic()
     text = column(text)
-    return F.coalesce(unescape(F.when(F.contains(text, F.lit("&")), text)), text)
+    return F.coalesce(decode(F.when(F.contains(text, F.lit("&")), text)), text)
 
 
 def element_text(markup: Column | str) -> Column:

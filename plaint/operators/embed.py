@@ -64,9 +64,11 @@ def histogram_embedder(width: int = PHOTO_WIDTH) -> Factory:
     return lambda: embed
 
 
-def _embed_values(embedder: Embedder, values: list) -> list[tuple[list | None, str | None]]:
+def _embed_values(
+    embedder: Embedder, values: list
+) -> list[tuple[np.ndarray | None, str | None]]:
     try:
-        vectors = [np.asarray(v, dtype=np.float64).ravel().tolist() for v in embedder(values)]
+        vectors = [np.asarray(v, dtype=np.float64).ravel() for v in embedder(values)]
         if len(vectors) != len(values):
             raise ValueError(f"{len(vectors)} vectors for {len(values)} values")
         return [(v, None) for v in vectors]
@@ -76,6 +78,17 @@ def _embed_values(embedder: Embedder, values: list) -> list[tuple[list | None, s
         return [_embed_values(embedder, [value])[0] for value in values]
 
 
+def _list_array(vectors: list[np.ndarray | None]) -> pa.Array:
+    """Arrow lists from one flat buffer; a batch of wide vectors as Python floats would be huge."""
+    found = [v for v in vectors if v is not None]
+    ends = np.cumsum([0 if v is None else len(v) for v in vectors])
+    return pa.ListArray.from_arrays(
+        pa.array(np.concatenate(([0], ends)), pa.int32()),
+        pa.array(np.concatenate(found) if found else np.empty(0), pa.float64()),
+        mask=pa.array([v is None for v in vectors], pa.bool_()),
+    )
+
+
 def embed(
     df: DataFrame, column: str, output: str, factory: Factory, batch_size: int = BATCH
 ) -> DataFrame:
@@ -95,7 +108,7 @@ def embed(
                 for i, (found, error) in zip(chunk, results):
                     vectors[i], errors[i] = found, error
             yield pa.StructArray.from_arrays(
-                [pa.array(vectors, pa.list_(pa.float64())), pa.array(errors, pa.string())],
+                [_list_array(vectors), pa.array(errors, pa.string())],
                 names=["vector", "error"],
             )
 

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from plaint.operators.filters import present
 from plaint.schemas import PHOTO_SCHEMA
 
+HELD = 64  # photos that a task holds while it fetches
+
 
 def read_photos(spark: SparkSession, path: str, prefix: str) -> DataFrame:
     """Downloaded photo files. Their url is ``prefix`` followed by the file name."""
@@ -41,7 +43,9 @@ def fetch_photos(
     def fetch(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         with ThreadPoolExecutor(threads) as pool:
             for frame in frames:
-                content = list(pool.map(one, frame["url"]))
-                yield pd.DataFrame({"url": frame["url"], "content": content})
+                # A batch holds thousands of urls; only some photos are in memory at a time.
+                for start in range(0, len(frame), HELD):
+                    few = frame["url"].iloc[start : start + HELD]
+                    yield pd.DataFrame({"url": few, "content": list(pool.map(one, few))})
 
     return urls.mapInPandas(fetch, PHOTO_SCHEMA)

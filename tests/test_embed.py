@@ -184,6 +184,18 @@ def test_central_comment_without_a_callable(spark):
     assert {r.cluster: r.summary for r in found.collect()} == {"1": "middle", "2": ""}
 
 
+def test_batches_without_any_vector(spark):
+    frame = spark.createDataFrame([(None,), (None,)], "content binary").coalesce(1)
+    rows = embed.embed_image(frame, factory=image_factory).collect()
+    assert [(r.image_vector, r.image_vector_error) for r in rows] == [(None, None)] * 2
+
+
+def test_vectors_of_unequal_width_keep_their_rows(spark):
+    frame = spark.createDataFrame([("",), ("abc",), ("x",)], "comment string").coalesce(1)
+    rows = embed.embed_text(frame, factory=lambda: lambda vs: [[1.0] * len(v) for v in vs]).collect()
+    assert [r.text_vector for r in rows] == [[], [1.0] * 3, [1.0]]
+
+
 def test_empty_input(frames):
     tickets, photos = frames
     assert embed.vectorize_tickets(tickets.limit(0), photos).collect() == []

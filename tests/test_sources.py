@@ -221,6 +221,8 @@ def test_fetched_photos(spark):
             raise OSError("no")
         return url.encode() * 2
 
+    many = spark.createDataFrame([(f"m{i}",) for i in range(300)], "photo string").coalesce(1)
+    assert photos.fetch_photos(many, fetcher).count() == 300
     for parallelism in (None, 3):
         found = photos.fetch_photos(tickets, fetcher, parallelism=parallelism)
         assert {r.url: bytes(r.content) for r in found.collect()} == {"a": b"aa", "bad": b""}
