@@ -218,11 +218,12 @@ def _rgba(color: str, separator: str) -> str:
 
 
 def _text(markup: str) -> str:
-    """Text of an element of the test pages, whose references are few."""
+    """Text of an element of the test pages, whose references are few. HTML reads these names also
+    without the semicolon, as in a title that was cut."""
     space = r"[\s\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]*"
     untagged = rf"regexp_replace({markup}, '(?s)<!--.*?-->|<[^>]*>', chr(1), 'g')"
-    for name, char in [("&copy;", "©"), ("&middot;", "·"), ("&quot;", '"'), ("&amp;", "&")]:
-        untagged = f"replace({untagged}, '{name}', '{char}')"
+    for name, char in [("copy", "©"), ("middot", "·"), ("quot", '"'), ("amp", "&")]:
+        untagged = f"regexp_replace({untagged}, '&{name};?', '{char}', 'g')"
     joined = rf"regexp_replace({untagged}, '{space}\x01{space}', '', 'g')"
     trimmed = rf"regexp_replace({joined}, '^{space}|{space}$', '', 'g')"
     return f"coalesce({trimmed}, '')"
