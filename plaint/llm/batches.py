@@ -14,6 +14,7 @@ from plaint.session import scratch_dir
 BATCH_ROWS = 128
 # Text bytes that the array code works on at a time; a longer document is worked on alone.
 CHUNK_BYTES = 1 << 18
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 _MULTIPLIER = 0x9E3779B97F4A7C15
 _INVERSE = pow(_MULTIPLIER, -1, 1 << 64)
@@ -28,9 +29,15 @@ def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
 
 def staged(df: DataFrame, purpose: str) -> DataFrame:
     """Write to the shared folder and read back: what follows survives a lost executor."""
-    path = scratch_dir(df.sparkSession, purpose)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = scratch_dir(spark, purpose)
+    # The table is whole once it is written, so the shuffle files behind it can go.
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(CLEANUP)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def mix(values: np.ndarray) -> np.ndarray:
