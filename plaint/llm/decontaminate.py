@@ -124,7 +124,7 @@ def contamination(
         found = places.join(sent(tokens), "token")
         matched = found if matched is None else matched.unionByName(found)
     if matched is None:
-        matched = split.selectExpr("0L as token", "uid", "n_words", "0 as pos").limit(0)
+        matched = split.selectExpr("0L as token", "uid", "0 as n_words", "0 as pos").limit(0)
     matched = staged(matched, "matched")
 
     rarity = matched.groupBy("token").agg(F.count("*").alias("n"))

@@ -91,6 +91,7 @@ def parse_level(names: np.ndarray, symbols: np.ndarray, rows: np.ndarray, powers
     rises[1:] = labels[1:] > labels[:-1]
     falls = np.ones(len(labels), bool)
     falls[:-1] = labels[:-1] > labels[1:]
+    falls[edges[1:] - 1] = True
     cut = rises & falls
     cut[edges] = True
     starts = np.flatnonzero(cut)
@@ -105,17 +106,18 @@ def fingerprints(texts: list[bytes], powers: Powers) -> list[np.ndarray]:
     for first, end, content, rows in chunks(pa.array(texts, pa.large_binary())):
         parts: list[list[np.ndarray]] = [[] for _ in range(end - first)]
         names, symbols = _BYTE_NAMES[content], content
+        done = np.diff(rows) == 0
         for level in range(1, LEVELS + 1):
-            if not len(names):
+            if done.all():
                 break
             names, rows = parse_level(names, symbols, rows, powers)
             symbols = names
             sizes = np.diff(rows)
             # The name of a whole text is always a feature, so that short texts have one.
-            used = sizes > 0 if level >= FIRST_LEVEL else sizes == 1
-            for i in np.flatnonzero(used):
+            for i in np.flatnonzero(~done & ((sizes == 1) | (level >= FIRST_LEVEL))):
                 parts[i].append(names[rows[i] : rows[i + 1]])
-            if sizes.max(initial=0) <= 1:
+            done |= sizes == 1
+            if done.all():
                 break
         for own in parts:
             joined = np.unique(np.concatenate(own) >> np.uint64(32)) if own else np.zeros(0, np.uint64)

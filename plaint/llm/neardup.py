@@ -246,7 +246,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
 
     named = labels.select(F.col("id").alias("rep"), "component")
     placed = members.join(named, "rep", "left")
-    component = F.coalesce("component", "rep", "doc_id")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "rep", "doc_id"))
     return placed.select(
         "doc_id",
         "n_shingles",

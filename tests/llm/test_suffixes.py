@@ -1,0 +1,94 @@
+"""Removal of earlier bytes against a dictionary of all 50-byte strings; the sort against sorted()."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+
+import numpy as np
+
+from plaint.llm import suffixes
+
+
+def brute(rows, size=50):
+    texts = [(i, (t or "").encode()) for i, t in rows]
+    first = {}
+    for i, raw in texts:
+        for k in range(len(raw) - size + 1):
+            key = raw[k : k + size]
+            first[key] = min(first.get(key, i), i)
+    out = []
+    for i, raw in texts:
+        gone = bytearray(len(raw))
+        for k in range(len(raw) - size + 1):
+            if first[raw[k : k + size]] < i:
+                gone[k : k + size] = b"\x01" * size
+        spans = sum(1 for k, g in enumerate(gone) if g and (not k or not gone[k - 1]))
+        kept = bytes(b for b, g in zip(raw, gone) if not g)
+        out.append((i, len(raw), sum(gone), spans, hashlib.sha256(kept).hexdigest()))
+    return sorted(out)
+
+
+def found(frame):
+    return sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in frame.collect())
+
+
+def text(n, letters="abcde é"):
+    return "".join(random.choices(letters, k=n))
+
+
+def test_copies_with_edits(docs):
+    random.seed(1)
+    rows = []
+    shared = [text(n) for n in (40, 49, 50, 51, 120, 500)]
+    for _ in range(50):
+        parts = [text(random.randint(0, 80))]
+        for passage in random.sample(shared, random.randint(0, 3)):
+            cut = random.randint(0, 30) if random.random() < 0.5 else 0
+            parts += [passage[cut:], text(random.randint(0, 60))]
+        rows.append("".join(parts))
+    base = text(900)
+    for _ in range(10):
+        at = random.randrange(900)
+        rows.append(base[:at] + text(3) + base[at + random.randint(0, 5) :])
+    order = list(range(len(rows)))
+    random.shuffle(order)
+    pairs = list(zip(order, rows))
+    assert found(suffixes.remove_earlier_bytes(docs(pairs))) == brute(pairs)
+
+
+def test_settled_in_small_parts(docs, monkeypatch):
+    monkeypatch.setattr(suffixes, "FLUSH_ANCHORS", 20)
+    random.seed(5)
+    shared = text(200)
+    rows = [text(60) + shared + text(60) for _ in range(20)] + [shared] * 5
+    assert found(suffixes.remove_earlier_bytes(docs(rows))) == brute(list(enumerate(rows)))
+
+
+def test_odd_rows(docs):
+    random.seed(7)
+    long = text(300)
+    rows = [(1, None), (2, ""), (3, "a" * 49), (4, "a" * 50), (5, "a" * 200), (6, long), (7, long), (-8, long[100:]), (9, "ab" * 100), (10, "ba" * 100)]
+    assert found(suffixes.remove_earlier_bytes(docs(rows))) == brute(rows)
+
+
+def test_rows_without_or_with_one_id(docs):
+    long = "0123456789" * 5 + "abcdefghij"
+    rows = [(None, long), (3, long), (3, long), (4, "short")]
+    answer = {(r.doc_id, r.n_removed) for r in suffixes.remove_earlier_bytes(docs(rows)).collect()}
+    assert answer == {(None, 60), (3, 0), (4, 0)}
+
+
+def test_empty_table(docs):
+    assert found(suffixes.remove_earlier_bytes(docs([(1, "x")]).limit(0))) == []
+
+
+def test_deep_shallow_order():
+    random.seed(9)
+    raw = "".join(random.choice(["ab", "abababababababababababababab", "c", "x" * 40]) for _ in range(300)).encode()
+    buffer = np.frombuffer(raw, np.uint8)
+    starts = np.arange(len(raw) - 49)
+    order, new = suffixes.deep_shallow_sort(buffer, starts)
+    strings = [raw[s : s + 50] for s in order]
+    assert strings == sorted(strings)
+    assert list(new) == [k == 0 or strings[k] != strings[k - 1] for k in range(len(strings))]
