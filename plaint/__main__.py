@@ -8,9 +8,10 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import SparkSession
 
-from plaint.plans import jobs
+from plaint.plans import jobs, reports
 from plaint.schemas import PHOTO_SCHEMA
 from plaint.session import configure, pin
+from plaint.sources import tables
 from plaint.streaming.ingest import incremental_ingest
 
 
@@ -44,10 +45,12 @@ def parser() -> argparse.ArgumentParser:
     backfill = add("backfill", help="vectors of all tickets from an instant on")
     vectorize.add_argument("--ds", required=True)
     vectorize.add_argument("--max-rows", type=int)
+    vectorize.add_argument("--by-date", action="store_true", help="the date's tickets instead of the export's")
     backfill.add_argument("--since", required=True)
     for job in (vectorize, backfill):
         job.add_argument("--tickets", required=True, help="ticket table")
-        job.add_argument("--photos", required=True, help="Parquet table of url and content")
+        job.add_argument("--photos", help="Parquet table of url and content")
+        job.add_argument("--fetcher", help="module:name that maps a url to its bytes; instead of --photos")
         job.add_argument("--table", required=True, help="vector table")
         job.add_argument("--text-factory", help="module:name that returns a text embedder")
         job.add_argument("--image-factory", help="module:name that returns a photo embedder")
@@ -60,9 +63,29 @@ def parser() -> argparse.ArgumentParser:
     refresh.add_argument("--version", required=True)
     refresh.add_argument("--models")
     refresh.add_argument("--clusters", type=int, default=8)
+    reported = add("report", help="the tables of both report pages from the published table")
+    reported.add_argument("--published", required=True)
+    reported.add_argument("--out", required=True, help="a new folder")
+    reported.add_argument("--version", help="the last one by default")
+    reported.add_argument("--clusters", type=int, nargs="*", default=[])
+    reported.add_argument("--summarizer", help="module:name that maps a prompt to a text")
     return top
 
 
+def report(spark: SparkSession, given: argparse.Namespace) -> str:
+    """Write each part of the cluster page and of the map page as a Parquet table."""
+    dashboard = reports.load_dashboard(tables.read_clustered(spark, given.published, given.version))
+    pages = {
+        "cluster": reports.cluster_report(dashboard, named(given.summarizer)),
+        "map": reports.map_report(dashboard, given.clusters),
+    }
+    for page, parts in pages.items():
+        for name, part in vars(parts).items():
+            part.write.parquet(f"{given.out.rstrip('/')}/{page}_{name}")
+    dashboard.unpersist()
+    return f"reports written to {given.out}"
+
+
 def run(spark: SparkSession, arguments: Sequence[str] | None = None) -> str:
     """Run the job and return one line about it."""
     given = parser().parse_args(arguments)
@@ -88,8 +111,11 @@ def run(spark: SparkSession, arguments: Sequence[str] | None = None) -> str:
             k=given.clusters,
         )
         return f"version {given.version} published"
-    photos = spark.read.schema(PHOTO_SCHEMA).parquet(given.photos)
+    if given.job == "report":
+        return report(spark, given)
+    photos = spark.read.schema(PHOTO_SCHEMA).parquet(given.photos) if given.photos else None
     options = {
+        "fetcher": named(given.fetcher),
         "text_factory": named(given.text_factory),
         "image_factory": named(given.image_factory),
         "batch_size": given.batch_size,
@@ -97,7 +123,7 @@ def run(spark: SparkSession, arguments: Sequence[str] | None = None) -> str:
     }
     if given.job == "vectorize":
         done = jobs.daily_vectorize(
-            spark, given.tickets, photos, given.table, given.ds, given.max_rows, **options
+            spark, given.tickets, photos, given.table, given.ds, given.max_rows, given.by_date, **options
         )
     else:
         done = jobs.backfill_vectors(

@@ -210,8 +210,9 @@ def append_vectors(spark, sf_dir):
 def publish_clustered(spark, sf_dir):
     source = fixtures.clustered_components(spark, sf_dir).drop("doc_id")
     path = scratch_dir(spark, "clustered")
+    tables.publish_clustered(source.limit(0), path, "1", "published_tickets")
     tables.publish_clustered(source, path, "1", "published_tickets")
-    found = plain(spark.table("published_tickets"))
+    found = plain(tables.read_clustered(spark.newSession(), path))
     return found.withColumns({name: rounded(name) for name in COMPONENTS})
 
 
@@ -615,7 +616,7 @@ def daily_export(spark, sf_dir):
 def daily_vectorize(spark, sf_dir):
     table = scratch_dir(spark, "vectorized")
     done = jobs.daily_vectorize(
-        spark, _ticket_table(spark, sf_dir), fixtures.photos(spark, sf_dir), table, DAY
+        spark, _ticket_table(spark, sf_dir), fixtures.photos(spark, sf_dir), table, DAY, by_date=True
     )
     if not done.written:
         return spark.createDataFrame([], "ticket_id string, pos int, value double")

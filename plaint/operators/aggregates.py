@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import sys
+from collections.abc import Callable, Sequence
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -13,6 +14,8 @@ from plaint.functions import color, text
 from plaint.operators.filters import selected
 from plaint.operators.topn import sample_per_group
 
+LARGEST = sys.float_info.max
+
 INSTRUCTION = (
     "Summarise what the following public comments have in common. Write one or two short, clear "
     "sentences in Thai about the main issue. Use no emoji or special characters, and do not "
@@ -63,10 +66,25 @@ def _ranked(counts: DataFrame, order: str) -> DataFrame:
     )
 
 
-def _tighter(values: DataFrame, brackets: dict[str, Row], cells: int) -> dict[str, Row]:
-    """Cut each bracket into equal cells, count them, and keep the cells of the middle rows."""
+def _halved(value: Column) -> Column:
+    """Half a value, so that the width of no finite bracket overflows."""
+    return F.least(F.greatest(value, F.lit(-LARGEST)), F.lit(LARGEST)) / 2
+
+
+def _by_magnitude(value: Column) -> Column:
+    """A scale on which far outliers and infinities are near: below 710 either way."""
+    return F.signum(value) * F.log1p(F.least(F.abs(value), F.lit(LARGEST)))
+
+
+def _tighter(
+    values: DataFrame, brackets: dict[str, Row], cells: int, scale: Callable[[Column], Column]
+) -> dict[str, Row]:
+    """Cut each bracket into cells of equal width on a scale, count them, and keep the cells of
+    the middle rows."""
     low, high = _bound(brackets, "low"), _bound(brackets, "high")
-    cell = F.floor((F.col("value") - low) / (high - low) * F.lit(cells))
+    width = scale(high) - scale(low)
+    cell = F.when(width > 0, F.floor((scale(F.col("value")) - scale(low)) / F.nullif(width, F.lit(0.0)) * F.lit(cells)))
+    cell = F.coalesce(cell, F.lit(0))
     cell = (
         F.when(F.col("value") < low, F.lit(-1))
         .when(F.col("value") > high, F.lit(cells))
@@ -105,11 +123,12 @@ def exact_medians(
         F.count(F.lit(1)).alias("rows"), F.min("value").alias("low"), F.max("value").alias("high")
     )
     brackets = {row.name: row for row in spans.collect()}
-    while any(b.rows > few and b.low < b.high for b in brackets.values()):
-        tighter = _tighter(values, brackets, cells)
-        if tighter == brackets:
-            break
-        brackets = tighter
+    # Where one scale leaves a bracket as it is, as around a far outlier, the other cuts it.
+    scales, idle = [_halved, _by_magnitude], 0
+    while idle < len(scales) and any(b.rows > few and b.low < b.high for b in brackets.values()):
+        tighter = _tighter(values, brackets, cells, scales[0])
+        idle = idle + 1 if tighter == brackets else 0
+        brackets, scales = tighter, scales[::-1]
 
     value = F.col("value")
     clipped = (

@@ -18,7 +18,6 @@ from plaint.functions import text as texts
 from plaint.functions import vector
 from plaint.operators.filters import NO_BYTES, NO_ID, NO_URL, present
 from plaint.operators.joins import left_join
-from plaint.operators.small import small_side
 
 Embedder = Callable[[list], Sequence]
 Factory = Callable[[], Embedder]
@@ -26,7 +25,6 @@ Factory = Callable[[], Embedder]
 TEXT_WIDTH = 64
 PHOTO_WIDTH = 64
 BATCH = 128  # values per call of an embedder
-WANTED = 100_000  # urls of photos that are broadcast
 
 _RESULT = "struct<vector: array<double>, error: string>"
 
@@ -178,21 +176,19 @@ def vectorize_tickets(
 ) -> DataFrame:
     """Add ``vector`` and ``reject_reason``; exactly one of them is NULL in every row.
 
-    Each photo is embedded once, however many tickets show it, and only photos that a ticket
-    shows: few wanted urls are broadcast, so the photo table is not shuffled for them. What is shuffled to the tickets is the vector, not the bytes. Text is embedded only
-    for tickets whose photo gave a vector. Rows keep their place: an id that occurs n times gives
-    n rows. ``parallelism`` spreads the tickets before the text model, since one day's file may
-    be a single split.
+    Photos are embedded where they are read: give the photos of the tickets, as they were fetched.
+    No photo byte is shuffled, only vectors are, and of a url that is listed several times one
+    vector counts (the smallest, before any failure). Text is embedded only for tickets whose
+    photo gave a vector. Rows keep their place: an id that occurs n times gives n rows.
+    ``parallelism`` spreads the photos, and the rows right before the text model.
     """
-    wanted = tickets.filter(present("ticket_id") & present("photo"))
-    wanted = small_side(wanted.select(F.col("photo").alias("url")).distinct(), WANTED)
     usable = photos.filter(present("url") & (F.octet_length("content") > 0))
-    shown = usable.join(wanted, "url", "left_semi")
     if parallelism:
-        shown = shown.repartition(parallelism)
-        tickets = tickets.repartition(parallelism)
-    seen = embed_image(shown, "content", image_factory, "_image", batch_size)
+        usable = usable.repartition(parallelism)
+    seen = embed_image(usable, "content", image_factory, "_image", batch_size)
     seen = seen.select(F.col("url").alias("photo"), "_image", "_image_error")
+    best = F.min(F.struct(F.col("_image").isNull().alias("failed"), "_image", "_image_error"))
+    seen = seen.groupBy("photo").agg(best.alias("best")).select("photo", "best._image", "best._image_error")
 
     joined = left_join(tickets, [seen], "photo", ["ticket_id", "timestamp"])
     reason = (
@@ -204,6 +200,8 @@ def vectorize_tickets(
     guarded = joined.withColumn("_reason", reason).withColumn(
         "_text", F.when(F.col("_reason").isNull(), texts.or_blank("comment"))
     )
+    if parallelism:
+        guarded = guarded.repartition(parallelism)
     read = embed(guarded, "_text", "_words", text_factory or trigram_embedder(), batch_size)
     accepted = F.when(F.col("_reason").isNull(), F.col("_image"))
     read = read.withColumn("_image", accepted)

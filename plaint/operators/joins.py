@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from plaint.functions import color, vector
 from plaint.operators.filters import id_present, present
-from plaint.operators.small import small_side
 from plaint.schemas import COMPONENTS
 
 SPREAD = 1_024
@@ -69,6 +68,6 @@ def assign_clusters(
 
 def color_points(df: DataFrame, palette: DataFrame, key: str = "cluster") -> DataFrame:
     """Add ``color`` from a palette (``cluster, color``); gray where the palette has none."""
-    lookup = small_side(palette.select(key, F.col("color").alias("_color")))
+    lookup = palette.select(key, F.col("color").alias("_color"))
     joined = df.join(lookup, key, "left")
     return joined.select(*df.columns, F.coalesce("_color", color.gray()).alias("color"))

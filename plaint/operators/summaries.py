@@ -11,14 +11,10 @@ from pyspark.sql import functions as F
 from plaint.functions import text
 from plaint.functions import vector as functions
 from plaint.operators.aggregates import INSTRUCTION, cluster_means, cluster_prompt, cluster_samples
-from plaint.operators.small import small_side
 
 # Fixed value: what is shown when no summary could be made.
 NO_SUMMARY = "Summary not available"
 
-# A mean vector is wide, so fewer of them count as a small table.
-MEANS = 1_000
-
 Summarizer = Callable[[str], str]
 
 
@@ -30,7 +26,7 @@ def central_comments(
     Means and minima are combined before the shuffle. Distances are compared to 9 decimals, and
     the id decides between equal ones.
     """
-    means = small_side(cluster_means(df, key, vector), MEANS)
+    means = cluster_means(df, key, vector)
     rows = df.filter(F.col(vector).isNotNull()).select(key, identity, "comment", vector)
     distance = functions.distance(vector, "mean")
     ranked = rows.join(means, key).select(

@@ -13,6 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from plaint.functions.sampling import draw
 
@@ -69,6 +70,14 @@ def _draws(drawn: Column, row: Column) -> list[Column]:
     return [*[F.substring(drawn, 1, length) for length in (4, 8, 32)], F.shiftright(row, 48)]
 
 
+def _moments(moment: str) -> list[Column]:
+    """The hour of a time, in seconds, then its second, millisecond and microsecond: one hour has
+    at most 3,600 of the next kind, and each of these 1,000 of the one after."""
+    seconds = F.unix_seconds(moment)
+    hour = seconds - F.pmod(seconds, F.lit(HOUR))
+    return [hour, seconds, F.unix_millis(moment), F.unix_micros(moment)]
+
+
 def _first(df: DataFrame, n: int, drawn: Column, before: Sequence[Column] = ()) -> DataFrame:
     """The first n rows by ``before``, then as drawn. The draw is computed once per row."""
     ordered = df.withColumn("_drawn", drawn).orderBy(*before, "_drawn", _row_hash(df))
@@ -88,9 +97,7 @@ def newest(
     """
     tie = draw("tie", list(ties))
     if n > direct:
-        seconds, micros = F.unix_seconds(moment), F.unix_micros(moment)
-        hour = seconds - F.pmod(seconds, F.lit(HOUR))
-        buckets = [F.coalesce(-age, F.lit(LAST)) for age in (hour, micros)]
+        buckets = [F.coalesce(-age, F.lit(LAST)) for age in _moments(moment)]
         df, bounds = _narrow(df, n, [*buckets, *_draws(tie, _row_hash(df))])
         if bounds and bounds[0] != LAST:
             # The same bound on the bare column, which the scan can use to skip row groups.
@@ -99,11 +106,19 @@ def newest(
 
 
 def cap_rows(
-    df: DataFrame, n: int | None, order: Sequence[str] = ("timestamp", "ticket_id")
+    df: DataFrame,
+    n: int | None,
+    order: Sequence[str] = ("timestamp", "ticket_id"),
+    direct: int = DIRECT,
 ) -> DataFrame:
-    """The first n rows in ``order``; all rows when n is None."""
+    """The first n rows in ``order``; all rows when n is None.
+
+    A large n is narrowed by the first column of the order when that is a time.
+    """
     if n is None:
         return df
+    if n > direct and isinstance(df.schema[order[0]].dataType, T.TimestampType):
+        df, _ = _narrow(df, n, [F.coalesce(age, F.lit(LAST)) for age in _moments(order[0])])
     return df.orderBy(*[F.asc_nulls_last(name) for name in order], _row_hash(df)).limit(n)
 
 

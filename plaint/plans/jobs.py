@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,9 +12,10 @@ from plaint.operators import embed, models
 from plaint.operators.filters import has_value, not_blank_keep_null
 from plaint.operators.topn import cap_rows
 from plaint.operators.transform import transform_tickets
-from plaint.schemas import TICKET_COLUMNS
+from plaint.schemas import PHOTO_SCHEMA, TICKET_COLUMNS
 from plaint.session import scratch_dir
 from plaint.sources import exports, tables
+from plaint.sources.photos import fetch_photos
 
 
 def daily_ingest(spark: SparkSession, root: str, table: str, ds: str, replace: bool = True) -> int:
@@ -39,12 +41,15 @@ class Vectorized:
 
 
 def _vectorize(todo: DataFrame, photos: DataFrame, table: str, landed: str, **options) -> Vectorized:
-    """Vectors of ``todo`` into the table; nothing is written when there is no row or no vector.
+    """Vectors of ``todo`` into the table, in place of what an earlier run of ``landed`` wrote.
 
-    The results are staged once in the shared folder: accepted and rejected rows are both read
-    from there, and a lost executor does not run the models a second time.
+    Tickets that other partitions of the table hold are left out. The results are staged once in
+    the shared folder: accepted and rejected rows are both read from there, and a lost executor
+    does not run the models a second time. Rejects stay there as a table; the staged copy goes.
+    With no vector, a first run writes nothing and a repeated one empties its partition.
     """
     spark = todo.sparkSession
+    todo = tables.not_in_table(todo, table, landed)
     staged_at = scratch_dir(spark, "vectors")
     results = embed.vectorize_tickets(todo, photos, **options)
     results.write.parquet(staged_at)
@@ -53,43 +58,74 @@ def _vectorize(todo: DataFrame, photos: DataFrame, table: str, landed: str, **op
     counts = staged.agg(
         F.count(F.lit(1)).alias("fetched"), F.count_if(accepted).alias("accepted")
     ).first()
-    rejects = staged.filter(~accepted).drop("vector") if counts.fetched else None
-    if counts.accepted == 0:
-        return Vectorized(counts.fetched, 0, rejects)
-    written = tables.append_vectors(staged.filter(accepted), table, landed)
+    rejects = None
+    if counts.fetched:
+        kept_at = scratch_dir(spark, "rejects")
+        refused = staged.filter(~accepted).drop("vector")
+        refused.write.parquet(kept_at)
+        rejects = spark.read.schema(refused.schema).parquet(kept_at)
+    written = 0
+    if counts.accepted or tables.exists(spark, tables.landed_folder(table, landed)):
+        written = tables.append_vectors(staged.filter(accepted), table, landed)
+    tables.remove(spark, staged_at)
     return Vectorized(counts.fetched, written, rejects)
 
 
+def _photos(todo: DataFrame, photos: DataFrame | None, fetcher: Callable[[str], bytes] | None) -> DataFrame:
+    """The given photo table, or the photos of these tickets through a callable, staged."""
+    if photos is not None:
+        return photos
+    if fetcher is None:
+        raise ValueError("give a photo table or a fetcher")
+    path = scratch_dir(todo.sparkSession, "photos")
+    fetch_photos(todo, fetcher).write.parquet(path)
+    return todo.sparkSession.read.schema(PHOTO_SCHEMA).parquet(path)
+
+
 def daily_vectorize(
     spark: SparkSession,
     tickets: str,
-    photos: DataFrame,
+    photos: DataFrame | None,
     table: str,
     ds: str,
     max_rows: int | None = None,
+    by_date: bool = False,
+    fetcher: Callable[[str], bytes] | None = None,
     **options,
 ) -> Vectorized:
-    """Vectors of one day's tickets that have an id and a photo, into the vector table.
+    """Vectors of the tickets that one day's export brought and that have an id and a photo.
 
-    ``max_rows`` takes only the first rows by time and id; by default all are taken. Further
-    options go to ``vectorize_tickets``.
+    An export holds tickets of two UTC dates; ``by_date`` takes those of the date instead, from
+    any export. ``max_rows`` takes only the first rows by time and id; by default all are taken.
+    Without a photo table, ``fetcher`` gets the photos. Further options go to
+    ``vectorize_tickets``.
     """
-    todo = has_value(tables.read_tickets(spark, tickets, ds), ["photo", "ticket_id"])
-    return _vectorize(cap_rows(todo, max_rows), photos, table, ds, **options)
+    read = tables.read_tickets if by_date else tables.read_landed
+    todo = cap_rows(has_value(read(spark, tickets, ds), ["photo", "ticket_id"]), max_rows)
+    return _vectorize(todo, _photos(todo, photos, fetcher), table, ds, **options)
 
 
 def backfill_vectors(
-    spark: SparkSession, tickets: str, photos: DataFrame, table: str, since: str, **options
+    spark: SparkSession,
+    tickets: str,
+    photos: DataFrame | None,
+    table: str,
+    since: str,
+    fetcher: Callable[[str], bytes] | None = None,
+    **options,
 ) -> Vectorized:
-    """Vectors of all tickets from an instant on.
+    """Vectors of all tickets from an instant on that the table does not hold yet.
 
     Only '' drops out before the models; a NULL id or photo is rejected there with its reason.
     """
     todo = not_blank_keep_null(
         tables.read_tickets_since(spark, tickets, since), ["photo", "ticket_id"]
     )
-    landed = f"backfill-{since[:10]}"
-    return _vectorize(todo.select(*TICKET_COLUMNS), photos, table, landed, **options)
+    todo = todo.select(*TICKET_COLUMNS)
+    # The whole instant, in UTC: backfills from two instants are two runs.
+    start = F.date_format(F.lit(since).cast("timestamp"), "yyyyMMdd'T'HHmmss.SSSSSS")
+    landed = f"backfill-{spark.range(1).select(start).first()[0]}"
+    return _vectorize(todo, _photos(todo, photos, fetcher), table, landed, **options)
 
 
 def refresh_clusters(

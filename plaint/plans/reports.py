@@ -13,7 +13,6 @@ from plaint.functions import color, text
 from plaint.operators import aggregates, summaries, topn
 from plaint.operators.filters import filter_clusters
 from plaint.operators.joins import color_points
-from plaint.operators.small import small_side
 from plaint.schemas import COMPONENTS, DASHBOARD_COLUMNS
 from plaint.sources import pages as page_source
 
@@ -50,7 +49,7 @@ class ClusterReport:
 def cluster_bars(dashboard: DataFrame) -> DataFrame:
     """``cluster, count, bar_color``, largest first."""
     counts = aggregates.cluster_counts(dashboard)
-    lookup = small_side(aggregates.palette(dashboard).select("cluster", "color"))
+    lookup = aggregates.palette(dashboard).select("cluster", "color")
     bars = counts.join(lookup, "cluster", "left").select(
         "cluster", "count", color.hex_text("color").alias("bar_color")
     )

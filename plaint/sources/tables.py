@@ -8,6 +8,9 @@ and ``day`` is what a read by date prunes.
 
 from __future__ import annotations
 
+import json
+import uuid
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,10 +43,31 @@ def _append(df: DataFrame, path: str, landed: str, replace: bool) -> int:
     rows = df.withColumn("day", typing.day("timestamp")).hint("rebalance", "day")
     rows = rows.observe(counted, F.count(F.lit(1)).alias("rows"))
     writer = rows.write.mode("overwrite" if replace else "append").partitionBy("day")
-    writer.parquet(f"{path.rstrip('/')}/landed={landed}")
+    writer.parquet(landed_folder(path, landed))
     return counted.get["rows"]
 
 
+def _folder(spark: SparkSession, path: str):
+    """A folder and its file system, whatever store it is in."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    folder, system = _folder(spark, path)
+    return system.exists(folder)
+
+
+def remove(spark: SparkSession, path: str) -> bool:
+    """Delete a folder that a job staged itself; whether it was there."""
+    folder, system = _folder(spark, path)
+    return system.delete(folder, True)
+
+
+def landed_folder(path: str, landed: str) -> str:
+    return f"{path.rstrip('/')}/landed={landed}"
+
+
 def append_tickets(df: DataFrame, path: str, landed: str, replace: bool = True) -> int:
     """Add tickets to the table; the rows written.
 
@@ -64,11 +88,36 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType = TICKET_SCH
 
 
 def read_tickets(spark: SparkSession, path: str, ds: Day) -> DataFrame:
-    """Tickets of one UTC date: only its ``day`` partitions are listed and read."""
+    """Tickets of one UTC date, from whichever export: other days' files are listed, not read."""
     table = read_table(spark, path).filter(F.col("day") == F.lit(as_date(ds)))
     return on_day(table, ds).drop(*PARTITIONS)
 
 
+def read_landed(spark: SparkSession, path: str, landed: str) -> DataFrame:
+    """Tickets that one export brought, of any date: only its folder is listed and read."""
+    folder = landed_folder(path, landed)
+    if not exists(spark, folder):
+        return spark.createDataFrame([], TICKET_SCHEMA)
+    schema = T.StructType([*TICKET_SCHEMA.fields, T.StructField("day", T.DateType())])
+    return spark.read.schema(schema).parquet(folder).drop("day")
+
+
+def not_in_table(todo: DataFrame, path: str, landed: str) -> DataFrame:
+    """Rows of ``todo`` that no other export's partition of a vector table holds already.
+
+    A row is known by all its ticket columns. Rows under ``landed`` itself do not count, since
+    this run replaces them. Both sides are narrow hashes in the shuffle; ids repeat as they are.
+    """
+    spark = todo.sparkSession
+    if not exists(spark, path):
+        return todo
+    names = TICKET_SCHEMA.fieldNames()
+    held = read_table(spark, path, VECTOR_SCHEMA).filter(F.col("landed") != landed)
+    key = F.struct(F.xxhash64(*names).alias("a"), F.hash(*names).alias("b"))
+    held = held.select(key.alias("_row")).distinct()
+    return todo.withColumn("_row", key).join(held, "_row", "left_anti").drop("_row")
+
+
 def read_tickets_since(spark: SparkSession, path: str, start: str) -> DataFrame:
     """Tickets from an instant on."""
     first = F.to_date(F.lit(start).cast("timestamp"))
@@ -81,12 +130,36 @@ def read_vectors(spark: SparkSession, path: str) -> DataFrame:
 
 
 def publish_clustered(df: DataFrame, path: str, version: str, view: str) -> DataFrame:
-    """Write a new version of the clustered table, then point the view to it.
+    """Write a clustered table to a folder of its own, then note it as the current one.
 
-    The view changes last, so readers see the old version until the new one is complete.
+    The note is a row in ``published``, added when the table is complete; nothing is overwritten,
+    so a reader of an older run, of the same version too, reads on. ``read_clustered`` follows the
+    notes in any session; ``view`` is for this one. Old runs stay until their owner clears them.
     """
-    target = f"{path.rstrip('/')}/version={version}"
-    df.write.mode("overwrite").parquet(target)
-    published = df.sparkSession.read.schema(df.schema).parquet(target)
+    spark = df.sparkSession
+    run = uuid.uuid4().hex
+    target = f"{path.rstrip('/')}/version={version}/run={run}"
+    df.write.parquet(target)
+    note = spark.range(1).select(
+        F.unix_micros(F.current_timestamp()).alias("at"),
+        F.lit(version).alias("version"),
+        F.lit(run).alias("run"),
+        F.lit(df.schema.json()).alias("fields"),
+    )
+    note.coalesce(1).write.mode("append").json(f"{path.rstrip('/')}/published")
+    published = spark.read.schema(df.schema).parquet(target)
     published.createOrReplaceTempView(view)
     return published
+
+
+def read_clustered(spark: SparkSession, path: str, version: str | None = None) -> DataFrame:
+    """The clustered table published last, of one version or of any."""
+    notes = spark.read.schema("at long, version string, run string, fields string")
+    notes = notes.json(f"{path.rstrip('/')}/published")
+    if version is not None:
+        notes = notes.filter(F.col("version") == version)
+    last = notes.orderBy(F.desc("at"), "run").limit(1).first()
+    if last is None:
+        raise ValueError(f"nothing is published under {path}")
+    schema = T.StructType.fromJson(json.loads(last.fields))
+    return spark.read.schema(schema).parquet(f"{path.rstrip('/')}/version={last.version}/run={last.run}")

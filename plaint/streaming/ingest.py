@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -21,14 +23,19 @@ def incremental_ingest(
     """Process files that no earlier run has processed, then stop.
 
     The checkpoint must be in a folder that outlives the run. There is no state and no watermark.
-    A batch may be repeated after a failure; it then replaces its own partition of the table.
+    A batch may be repeated after a failure; it then replaces its own partition of the table. The
+    partition's name holds the stream's id, which lives in the checkpoint: several streams may
+    write to one table, and a new checkpoint is a new stream.
     """
     reader = spark.readStream.schema(RAW_SCHEMA).options(**RAW_OPTIONS)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        tables.append_tickets(transform_tickets(batch), table, landed=f"batch-{batch_id:09d}")
+        noted = batch.sparkSession.read.text(f"{checkpoint.rstrip('/')}/metadata").first()
+        stream_id = json.loads(noted.value)["id"]
+        landed = f"stream-{stream_id}-batch-{batch_id:09d}"
+        tables.append_tickets(transform_tickets(batch), table, landed=landed)
 
     stream = reader.csv(landing).writeStream.foreachBatch(write)
     return stream.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

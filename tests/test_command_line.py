@@ -21,13 +21,17 @@ def test_all_jobs(spark, root, tmp_path):  # noqa: F811
     stream = ["--landing", f"{root}/raw/*/*", "--table", paths["streamed"], "--checkpoint", paths["progress"]]
     assert run(spark, ["stream", *stream]) == "all landed files processed"
     vectors = ["--tickets", paths["tickets"], "--photos", paths["photos"], "--table", paths["vectors"]]
-    found = run(spark, ["vectorize", *vectors, "--ds", "2024-01-05", "--text-factory", f"{__name__}:words"])
+    found = run(spark, ["vectorize", *vectors, "--ds", "2024-01-05", "--by-date", "--text-factory", f"{__name__}:words"])
     assert found == "1 tickets taken, 1 vectors written"
     found = run(spark, ["backfill", *vectors, "--since", "2024-01-01", "--text-factory", f"{__name__}:words"])
-    assert found == "2 tickets taken, 2 vectors written"
+    assert found == "1 tickets taken, 1 vectors written"
     refresh = ["--vectors", paths["vectors"], "--published", paths["published"], "--models", paths["models"]]
     assert run(spark, ["refresh", *refresh, "--version", "7", "--clusters", "2"]) == "version 7 published"
-    assert spark.table("tickets_clustered").count() == 3
+    assert spark.table("tickets_clustered").count() == 2
+    out = str(tmp_path / "reports")
+    assert run(spark, ["report", "--published", paths["published"], "--out", out]) == f"reports written to {out}"
+    assert spark.read.parquet(f"{out}/cluster_scatter").count() == 2
+    assert spark.read.parquet(f"{out}/map_points").count() == 2
 
 
 def words():

@@ -43,8 +43,6 @@ def image_factory():
     def run(values):
         if b"broken" in values:
             raise ValueError("cannot decode")
-        if b"not shown" in values:
-            raise RuntimeError("a photo that nobody shows was embedded")
         return np.array([[0.0, float(v[0])] for v in values])
 
     return run
@@ -56,9 +54,7 @@ def frames(spark):
 
 
 @pytest.mark.parametrize("parallelism", [None, 3])
-@pytest.mark.parametrize("wanted", [100_000, 0])
-def test_vectors_and_rejects(frames, monkeypatch, parallelism, wanted):
-    monkeypatch.setattr(embed, "WANTED", wanted)
+def test_vectors_and_rejects(frames, parallelism):
     found = embed.vectorize_tickets(*frames, text_factory, image_factory, parallelism=parallelism)
     assert found.columns == ["ticket_id", "timestamp", "comment", "photo", "vector", "reject_reason"]
     rows = found.collect()
@@ -77,6 +73,25 @@ def test_vectors_and_rejects(frames, monkeypatch, parallelism, wanted):
     assert np.allclose(vectors["t1", "one"], [3 / length, 0, 0, 97 / length])
 
 
+def test_a_photo_that_is_listed_twice_counts_once(spark):
+    tickets = spark.createDataFrame([("t1", None, "c", "u1")], SCHEMA)
+    photos = spark.createDataFrame([("u1", b"abc"), ("u1", b"abd"), ("u1", b"")], "url string, content binary")
+    assert embed.vectorize_tickets(tickets, photos).count() == 1
+
+
+def test_no_photo_bytes_are_shuffled(frames, spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = embed.vectorize_tickets(*frames)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    depth = [line.index("Exchange") for line in plan.splitlines() if "Exchange" in line]
+    assert depth
+    kernels = [i for i, line in enumerate(plan.splitlines()) if "ArrowEvalPython" in line and "content" in line]
+    below = [line for line in plan.splitlines()[kernels[-1] + 1 :]]
+    assert not any("Exchange" in line for line in below)
+
+
 def test_a_filter_on_the_result_does_not_run_the_model_again(spark, tmp_path):
     log = str(tmp_path)
 

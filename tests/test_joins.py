@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from plaint.operators import aggregates, filters, joins, small
+from plaint.operators import aggregates, filters, joins
 from plaint.schemas import COMPONENTS
 
 SCHEMA = "ticket_id string, timestamp timestamp, photo string, n int"
@@ -93,18 +93,15 @@ def test_palette_follows_text_order(spark):
     assert found[9].color == found[11].color == [23, 190, 207, 255]
 
 
-def test_large_tables_are_not_broadcast(spark):
-    frame = spark.range(100)
-    assert "broadcast" in small.small_side(frame, 100)._jdf.queryExecution().logical().toString()
-    assert small.small_side(frame, 99) is frame
-
-
-def test_large_and_small_palettes_color_alike(spark, monkeypatch):
+def test_palettes_color_alike_with_and_without_broadcasts(spark):
     frame = spark.createDataFrame([(str(i % 12),) for i in range(60)] + [(None,)], "cluster string")
     palette = aggregates.palette(frame)
     one = sorted(map(str, joins.color_points(frame, palette).collect()))
-    monkeypatch.setattr(joins, "small_side", lambda df: df)
-    assert sorted(map(str, joins.color_points(frame, palette).collect())) == one
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert sorted(map(str, joins.color_points(frame, palette).collect())) == one
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_empty_selection_shows_all(spark):

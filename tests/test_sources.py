@@ -158,7 +158,7 @@ def test_daily_vectorize(spark, root, tmp_path):
     tickets, vectors = str(tmp_path / "tickets"), str(tmp_path / "vectors")
     jobs.daily_ingest(spark, root, tickets, "2024-01-05")
     for _ in range(2):
-        done = jobs.daily_vectorize(spark, tickets, photo_frame(spark, ["u1"]), vectors, "2024-01-05")
+        done = jobs.daily_vectorize(spark, tickets, photo_frame(spark, ["u1"]), vectors, "2024-01-05", by_date=True)
         assert (done.fetched, done.written, done.rejects.count()) == (1, 1, 0)
     found = tables.read_vectors(spark, vectors)
     assert found.columns == VECTOR_SCHEMA.fieldNames()
@@ -170,9 +170,9 @@ def test_daily_vectorize(spark, root, tmp_path):
 def test_nothing_is_written_without_rows_or_vectors(spark, root, tmp_path):
     tickets, vectors = str(tmp_path / "tickets"), tmp_path / "vectors"
     jobs.daily_ingest(spark, root, tickets, "2024-01-05")
-    none = jobs.daily_vectorize(spark, tickets, photo_frame(spark, ["u1"]), str(vectors), "2023-01-01")
+    none = jobs.daily_vectorize(spark, tickets, photo_frame(spark, ["u1"]), str(vectors), "2023-01-01", by_date=True)
     assert (none.fetched, none.written, none.rejects) == (0, 0, None)
-    failed = jobs.daily_vectorize(spark, tickets, photo_frame(spark, ["zz"]), str(vectors), "2024-01-05")
+    failed = jobs.daily_vectorize(spark, tickets, photo_frame(spark, ["zz"]), str(vectors), "2024-01-05", by_date=True)
     assert (failed.fetched, failed.written, failed.rejects.count()) == (1, 0, 1)
     assert failed.rejects.first().reject_reason == "photo not available"
     assert not vectors.exists()
@@ -183,12 +183,73 @@ def test_row_cap(spark, tmp_path):
     rows = [(str(i), f"2024-01-05 12:00:{i:02d}+00") for i in range(30)]
     tables.append_tickets(ticket_rows(spark, rows), tickets, "x")
     done = jobs.daily_vectorize(
-        spark, tickets, photo_frame(spark, [f"u{i}" for i in range(30)]), vectors, "2024-01-05", max_rows=20
+        spark, tickets, photo_frame(spark, [f"u{i}" for i in range(30)]), vectors, "2024-01-05", max_rows=20, by_date=True
     )
     assert done.written == 20
     assert {int(r.ticket_id) for r in tables.read_vectors(spark, vectors).collect()} == set(range(20))
 
 
+def test_an_export_is_vectorized_whole(spark, tmp_path):
+    """Tickets of two UTC dates land with one export."""
+    tickets, vectors = str(tmp_path / "tickets"), str(tmp_path / "vectors")
+    rows = [("1", "2024-01-04 20:00:00+00"), ("2", "2024-01-05 12:00:00+00")]
+    tables.append_tickets(ticket_rows(spark, rows), tickets, "2024-01-05")
+    done = jobs.daily_vectorize(spark, tickets, photo_frame(spark, ["u1", "u2"]), vectors, "2024-01-05")
+    assert done.written == 2
+    by_date = jobs.daily_vectorize(spark, tickets, photo_frame(spark, ["u1", "u2"]), vectors + "2", "2024-01-05", by_date=True)
+    assert by_date.written == 1
+
+
+def test_a_repeat_without_vectors_empties_its_partition(spark, tmp_path):
+    tickets, vectors = str(tmp_path / "tickets"), str(tmp_path / "vectors")
+    tables.append_tickets(ticket_rows(spark, [("1", "2024-01-05 12:00:00+00")]), tickets, "2024-01-05")
+    for urls, written in ((["u1"], 1), (["u9"], 0), (["u1"], 1)):
+        done = jobs.daily_vectorize(spark, tickets, photo_frame(spark, urls), vectors, "2024-01-05")
+        assert done.written == written == tables.read_vectors(spark, vectors).count()
+
+
+def test_backfills_and_days_hold_each_ticket_once(spark, tmp_path):
+    tickets, vectors = str(tmp_path / "tickets"), str(tmp_path / "vectors")
+    rows = [(str(i), f"2024-01-05 {6 + i:02d}:00:00+00") for i in range(8)]
+    tables.append_tickets(ticket_rows(spark, rows), tickets, "2024-01-05")
+    photos = photo_frame(spark, [f"u{i}" for i in range(8)])
+
+    def held():
+        return sorted(int(r.ticket_id) for r in tables.read_vectors(spark, vectors).collect())
+
+    jobs.backfill_vectors(spark, tickets, photos, vectors, "2024-01-05 12:00:00")
+    assert held() == [6, 7]
+    jobs.backfill_vectors(spark, tickets, photos, vectors, "2024-01-05 09:00:00")
+    assert held() == [3, 4, 5, 6, 7]
+    for _ in range(2):
+        jobs.daily_vectorize(spark, tickets, photos, vectors, "2024-01-05")
+        assert held() == list(range(8))
+    jobs.backfill_vectors(spark, tickets, photos, vectors, "2024-01-01")
+    assert held() == list(range(8))
+
+
+def test_photos_are_fetched_by_the_job(spark, tmp_path):
+    tickets, vectors = str(tmp_path / "tickets"), str(tmp_path / "vectors")
+    tables.append_tickets(ticket_rows(spark, [("1", "2024-01-05 12:00:00+00")]), tickets, "2024-01-05")
+    done = jobs.daily_vectorize(spark, tickets, None, vectors, "2024-01-05", fetcher=lambda url: url.encode())
+    assert done.written == 1
+    with pytest.raises(ValueError, match="fetcher"):
+        jobs.daily_vectorize(spark, tickets, None, vectors, "2024-01-05")
+
+
+def test_published_versions_are_read_by_any_session(spark, tmp_path):
+    path = str(tmp_path / "published")
+    with pytest.raises(Exception):
+        tables.read_clustered(spark, path)
+    first = tables.publish_clustered(spark.range(3).toDF("n"), path, "1", "seen")
+    tables.publish_clustered(spark.range(5).toDF("n"), path, "1", "seen")
+    other = spark.newSession()
+    assert tables.read_clustered(other, path).count() == 5 and first.count() == 3
+    tables.publish_clustered(spark.range(1).toDF("n"), path, "2", "seen")
+    assert tables.read_clustered(other, path).count() == 1
+    assert tables.read_clustered(other, path, "1").count() == 5
+
+
 def test_backfill_and_refresh(spark, tmp_path):
     tickets, vectors = str(tmp_path / "tickets"), str(tmp_path / "vectors")
     rows = [(str(i), f"2024-01-{1 + i % 9:02d} 12:00:00+00") for i in range(40)] + [(None, "2024-01-09 12:00:00+00")]

@@ -30,14 +30,25 @@ def test_only_new_files_are_ingested(spark, tmp_path):
 
 
 def test_a_repeated_batch_replaces_itself(spark, tmp_path):
-    root, table = str(tmp_path / "root"), str(tmp_path / "tickets")
+    root, table, progress = (str(tmp_path / name) for name in ("root", "tickets", "progress"))
     land(spark, root, "2024-01-01", ["a", "b"])
-    # The first attempt wrote its batch but failed before it was noted: the progress is lost.
-    for attempt in ("first", "second"):
-        incremental_ingest(spark, f"{root}/raw/*/*", table, str(tmp_path / attempt)).awaitTermination()
+    for _ in range(2):
+        incremental_ingest(spark, f"{root}/raw/*/*", table, progress).awaitTermination()
+        # The batch was written but the run failed before it was noted.
+        for note in (tmp_path / "progress" / "commits").iterdir():
+            note.unlink()
     assert tables.read_table(spark, table).count() == 2
 
 
+def test_two_streams_into_one_table(spark, tmp_path):
+    table = str(tmp_path / "tickets")
+    for name in ("one", "two"):
+        root = str(tmp_path / name)
+        land(spark, root, "2024-01-01", [name])
+        incremental_ingest(spark, f"{root}/raw/*/*", table, f"{root}-progress").awaitTermination()
+    assert sorted(r.ticket_id for r in tables.read_table(spark, table).collect()) == ["one", "two"]
+
+
 def test_stream_and_batch_give_the_same_rows(spark, tmp_path):
     root = str(tmp_path / "root")
     land(spark, root, "2024-01-01", ["a", "b", ""])

@@ -108,6 +108,26 @@ def test_cap_rows_without_a_number_keeps_all(frame):
     assert topn.cap_rows(frame, 20, ["last_activity", "n"]).count() == 20
 
 
+@pytest.mark.parametrize("spread", ["within one hour", "over years"])
+def test_many_rows_are_narrowed_in_small_steps(spark, spread, monkeypatch):
+    step = "id" if spread == "within one hour" else "id * 7200000000"
+    frame = spark.range(30_000).selectExpr(
+        f"timestamp_micros(1704067200000000 + {step}) as timestamp", "timestamp_micros(1704067200000000 + id) as last_activity", "cast(id as string) as ticket_id"
+    )
+    sizes = []
+    plain = topn._boundary
+
+    def counted(df, bucket, n):
+        sizes.append(df.select(bucket.alias("b")).distinct().count())
+        return plain(df, bucket, n)
+
+    monkeypatch.setattr(topn, "_boundary", counted)
+    newest = [r.ticket_id for r in topn.newest(frame, 50, direct=0).collect()]
+    assert newest == [str(i) for i in range(29_999, 29_949, -1)] and max(sizes) <= 3_600
+    capped = [r.ticket_id for r in topn.cap_rows(frame, 50, direct=0).collect()]
+    assert capped == [str(i) for i in range(50)]
+
+
 def test_limits_of_nothing(spark, frame):
     empty = frame.limit(0)
     assert topn.newest(empty, 5, direct=0).collect() == []
@@ -140,6 +160,16 @@ def test_median_of_a_hot_value_and_far_outliers(spark):
     assert medians(spark, values, few=5, cells=8) == statistics.median(values)
 
 
+def test_medians_beside_infinities_and_overflowing_ranges(spark):
+    far = [float("inf"), float("-inf"), 1e308, -1e308, 1e308, -1e308]
+    for values in ([float(i) for i in range(101)] + far, far, [float("inf")] * 3, [-1.5, float("inf")]):
+        frame = spark.createDataFrame([(v,) for v in values], "x double")
+        found = aggregates.exact_medians(frame, ["x"], few=4, cells=8).first().x
+        ordered = sorted(values)
+        expected = (ordered[(len(values) - 1) // 2] + ordered[len(values) // 2]) / 2
+        assert found == expected, values
+
+
 def test_medians_of_several_columns(spark):
     frame = spark.createDataFrame([(1.0, None), (2.0, 7.0), (9.0, 8.0)], "a double, b double")
     row = aggregates.exact_medians(frame, ["a", "b"], few=1, cells=4).first()
