@@ -585,6 +585,53 @@ ORACLES: dict[str, str] = {
             f"select * from complete where \"timestamp\"::date = date '{DAY}'",
         ),
     ),
+    "predict_clusters": _with(
+        "vectors", "select doc_id, coalesce(ticket_id <> '', false) as clustered, true as nearest from vectors"
+    ),
+    "fit_kmeans": "select (i + 1)::varchar as cluster, true as used, true as central from range(8) t(i)",
+    "load_model": _with("vectors", "select doc_id, true as same from vectors"),
+    "project_components": _with(
+        "vectors",
+        """select doc_id, case when ticket_id <> '' then 3 else 0 end as scores,
+          true as projected from vectors""",
+    ),
+    "fit_pca": """select (i + 1)::int as component, true as unit, true as orthogonal,
+      true as ordered from range(3) t(i)""",
+    "daily_vectorize_late": _with("complete", _cells("ticket_id", "vector", "select * from complete")),
+    "backfill_twice": _with("complete", _cells("ticket_id", "vector", "select * from complete")),
+    "backfill_after_daily": _with("complete", _cells("ticket_id", "vector", "select * from complete")),
+    "vectorize_repeat_empty": _with(
+        "complete",
+        f"""select count(*) as written, 0::bigint as written_again, 0::bigint as left_over
+          from complete where "timestamp"::date = date '{DAY}'""",
+    ),
+    "run_metrics": _with(
+        "guarded",
+        """select count(*) as fetched, count(*) filter (reject_reason is null) as written,
+          count(*) filter (reject_reason is not null) as rejected
+        from guarded where coalesce(photo, 'x') <> '' and coalesce(ticket_id, 'x') <> ''""",
+    ),
+    "repeated_photo_urls": _with("complete", _cells("doc_id", "vector", "select * from complete")),
+    "embed_in_batches": _with("words", _cells("doc_id", "text_vector", "select * from words")),
+    "land_raw": """select (doc_id % 7)::int as part, concat_ws(',', doc_id, lang, source) as value
+      from documents""",
+    "either_field": """select page_id, case when page_id % 2 = 0 then '' else url end as time,
+      case when page_id % 3 = 0 then '' else url end as description
+      from pages where page_id % 6 <> 0""",
+    "newest_one_hour": _with(
+        "tickets",
+        f"""select count(*) as rows, min(moment) as oldest
+        from (select timestamp '2024-01-01' + to_milliseconds(doc_id // 5) as moment
+              from tickets order by 1 desc limit {TOP})""",
+    ),
+    "map_center_infinite": _with(
+        "tickets",
+        """select round(median(case doc_id % 10 when 0 then 'inf'::double when 1 then '-inf'::double
+          when 2 then 1e308 else latitude end), 9) + 0.0::double as latitude from tickets""",
+    ),
+    "stream_two_sources": _with(
+        "tickets", f"select {_LANDED_COLUMNS} from tickets cross join range(2)"
+    ),
     "backfill_vectors": _with("complete", _cells("ticket_id", "vector", "select * from complete")),
     "refresh_clusters": _with(
         "vectors",

@@ -559,17 +559,84 @@ def given_components(spark, sf_dir):
     return cells(rows.withColumn("scores", scores), "doc_id", values="scores")
 
 
+def scaled(values: Column | str, model) -> Column:
+    """A vector as the model's scaler sees it, written out again."""
+    mean = F.array(*[F.lit(float(x)) for x in model.stages[0].mean])
+    spread = F.array(*[F.lit(float(x)) for x in model.stages[0].std])
+    centered = F.zip_with(values, mean, lambda v, m: v - m)
+    return F.zip_with(centered, spread, lambda v, s: F.when(s > 0, v / s).otherwise(0.0))
+
+
 @query
 def predict_clusters(spark, sf_dir):
+    """Whether a row has a cluster, and whether that is the nearest center after scaling."""
+    rows = fixtures.ticket_vectors(spark, sf_dir).drop("cluster")
+    model = models.fit_kmeans(rows)
+    names, found = models.centers(model)
+    predicted = models.predict_clusters(rows, model)
+    nearest = vector.nearest(scaled("vector", model), names, found)
+    return predicted.select(
+        "doc_id",
+        F.col("cluster").isNotNull().alias("clustered"),
+        (F.coalesce("cluster", nearest) == nearest).alias("nearest"),
+    )
+
+
+@query
+def fit_kmeans(spark, sf_dir):
+    """Per cluster: whether it has rows, and whether its center is near the mean of these."""
+    rows = fixtures.ticket_vectors(spark, sf_dir).drop("cluster")
+    model = models.fit_kmeans(rows)
+    names, found = models.centers(model)
+    placed = models.predict_clusters(rows, model).withColumn("vector", scaled("vector", model))
+    means = aggregates.cluster_means(placed)
+    given = spark.createDataFrame([(n, c.tolist()) for n, c in zip(names, found)], "cluster string, center array<double>")
+    checked = given.join(means, "cluster", "left")
+    return checked.select(
+        "cluster",
+        F.col("mean").isNotNull().alias("used"),
+        F.coalesce(vector.distance("mean", "center") < 1.0, F.lit(False)).alias("central"),
+    )
+
+
+@query
+def load_model(spark, sf_dir):
+    """A model that was saved and loaded predicts what it did before."""
     rows = fixtures.ticket_vectors(spark, sf_dir).drop("cluster")
-    return models.predict_clusters(rows, models.fit_kmeans(rows)).select("doc_id", "cluster")
+    model, path = models.fit_kmeans(rows), scratch_dir(spark, "model")
+    models.save_model(model, path)
+    first = models.predict_clusters(rows, model).withColumnRenamed("cluster", "first")
+    both = models.predict_clusters(first, models.load_model(path))
+    return both.select("doc_id", F.col("first").eqNullSafe(F.col("cluster")).alias("same"))
 
 
 @query
 def project_components(spark, sf_dir):
+    """Number of scores of a row, and whether they are the products with the model's axes."""
     rows = fixtures.ticket_vectors(spark, sf_dir)
-    found = models.project_components(rows, models.fit_pca(rows))
-    return found.select("doc_id", *COMPONENTS)
+    model = models.fit_pca(rows)
+    mean, axes = model.stages[0].mean.toArray(), model.stages[1].pc.toArray().T
+    found = models.project_components(rows, model)
+    products = vector.project("vector", axes, mean)
+    near = [F.coalesce(F.abs(F.col(name) - F.get(products, i)) < 1e-6, F.lit(True)) for i, name in enumerate(COMPONENTS)]
+    return found.select(
+        "doc_id",
+        F.array_size(F.array_compact(F.array(*COMPONENTS))).alias("scores"),
+        (near[0] & near[1] & near[2]).alias("projected"),
+    )
+
+
+@query
+def fit_pca(spark, sf_dir):
+    """The axes: of length 1, at right angles, and with no more variance than the one before."""
+    model = models.fit_pca(fixtures.ticket_vectors(spark, sf_dir))
+    axes, shares = model.stages[1].pc.toArray().T, model.stages[1].explainedVariance.toArray()
+    gram = axes @ axes.T
+    rows = [
+        (i + 1, bool(abs(gram[i, i] - 1) < 1e-9), bool(abs(gram[i, :i]).max(initial=0) < 1e-9), bool(i == 0 or shares[i] <= shares[i - 1]))
+        for i in range(len(axes))
+    ]
+    return spark.createDataFrame(rows, "component int, unit boolean, orthogonal boolean, ordered boolean")
 
 
 @query
@@ -623,6 +690,146 @@ def daily_vectorize(spark, sf_dir):
     return cells(tables.read_vectors(spark, table), "ticket_id")
 
 
+def _vectorized(spark, sf_dir, *steps) -> DataFrame:
+    """A vector table after some jobs, one row per element of a vector."""
+    table = scratch_dir(spark, "vectorized")
+    for step in steps:
+        step(_ticket_table(spark, sf_dir), fixtures.photos(spark, sf_dir), table)
+    return cells(tables.read_vectors(spark, table), "ticket_id")
+
+
+@query
+def daily_vectorize_late(spark, sf_dir):
+    """All that an export brought, of whatever date."""
+    return _vectorized(spark, sf_dir, lambda t, p, v: jobs.daily_vectorize(spark, t, p, v, "fixture"))
+
+
+@query
+def backfill_twice(spark, sf_dir):
+    """Two backfills from instants of one day, and a third from before both."""
+    starts = [f"{START} 12:00:00", f"{START} 06:00:00", "2024-01-01"]
+    runs = [lambda t, p, v, s=s: jobs.backfill_vectors(spark, t, p, v, s) for s in starts]
+    return _vectorized(spark, sf_dir, *runs)
+
+
+@query
+def backfill_after_daily(spark, sf_dir):
+    """Days and a backfill over them hold each ticket once, whichever comes again."""
+
+    def daily(t, p, v):
+        jobs.daily_vectorize(spark, t, p, v, DAY, by_date=True)
+
+    def backfill(t, p, v):
+        jobs.backfill_vectors(spark, t, p, v, "2024-01-01")
+
+    return _vectorized(spark, sf_dir, daily, backfill, daily, backfill)
+
+
+@query
+def vectorize_repeat_empty(spark, sf_dir):
+    """A day that has no photo any more when it is run again: its vectors go."""
+    table, tickets = scratch_dir(spark, "vectorized"), _ticket_table(spark, sf_dir)
+    shown = fixtures.photos(spark, sf_dir)
+    first = jobs.daily_vectorize(spark, tickets, shown, table, DAY, by_date=True)
+    again = jobs.daily_vectorize(spark, tickets, shown.limit(0), table, DAY, by_date=True)
+    left = tables.read_vectors(spark, table).agg(F.count("*").alias("left_over"))
+    return left.select(
+        F.lit(first.written).cast("bigint").alias("written"), F.lit(again.written).cast("bigint").alias("written_again"), "left_over"
+    )
+
+
+@query
+def run_metrics(spark, sf_dir):
+    """What a backfill reports: tickets taken, vectors written, tickets rejected."""
+    table = scratch_dir(spark, "vectorized")
+    done = jobs.backfill_vectors(
+        spark, _ticket_table(spark, sf_dir), fixtures.photos(spark, sf_dir), table, "2024-01-01"
+    )
+    return done.rejects.agg(F.count("*").alias("rejected")).select(
+        F.lit(done.fetched).cast("bigint").alias("fetched"), F.lit(done.written).cast("bigint").alias("written"), "rejected"
+    )
+
+
+@query
+def repeated_photo_urls(spark, sf_dir):
+    """Each photo listed three times, once without its bytes."""
+    shown = fixtures.photos(spark, sf_dir)
+    often = shown.union(shown).union(shown.withColumn("content", F.lit(b"")))
+    found = embed.vectorize_tickets(fixtures.tickets(spark, sf_dir), often)
+    return cells(found.filter(F.col("reject_reason").isNull()), "doc_id")
+
+
+@query
+def embed_in_batches(spark, sf_dir):
+    """Three values a call, from a model that fails on more."""
+
+    def factory():
+        plain_model = embed.trigram_embedder()()
+
+        def few(values):
+            if len(values) > 3:
+                raise ValueError("too many values")
+            return plain_model(values)
+
+        return few
+
+    found = embed.embed_text(fixtures.tickets(spark, sf_dir), factory=factory, batch_size=3)
+    return cells(found.filter(F.col("text_vector_error").isNull()), "doc_id", values="text_vector")
+
+
+@query
+def land_raw(spark, sf_dir):
+    """One text document per source document, read back from the day's folder."""
+    root = scratch_dir(spark, "landed")
+    lines = fixtures.table(spark, sf_dir, "documents").select(
+        F.pmod("doc_id", F.lit(7)).alias("part"), F.concat_ws(",", "doc_id", "lang", "source").alias("value")
+    )
+    for _ in range(2):
+        exports.land_raw(lines, root, DAY)
+    read = spark.read.text(exports.day_folder(root, "raw", DAY))
+    return read.select(F.col("part").cast("int").alias("part"), "value")
+
+
+@query
+def either_field(spark, sf_dir):
+    """Items of which a sixth have neither time nor description."""
+    items = fixtures.table(spark, sf_dir, "pages").select(
+        "page_id",
+        F.when(F.col("page_id") % 2 == 0, F.lit("")).otherwise(F.col("url")).alias("time"),
+        F.when(F.col("page_id") % 3 == 0, F.lit("")).otherwise(F.col("url")).alias("description"),
+    )
+    return pages.either_field(items)
+
+
+@query
+def newest_one_hour(spark, sf_dir):
+    """All tickets changed within one hour, a millisecond apart in groups of five."""
+    moment = F.timestamp_millis(F.lit(1_704_067_200_000) + F.expr("doc_id div 5"))
+    rows = fixtures.tickets(spark, sf_dir).withColumn("last_activity", moment)
+    found = topn.newest(rows, TOP, ties=("address",), direct=0)
+    return plain(found.agg(F.count("*").alias("rows"), F.min("last_activity").alias("oldest")))
+
+
+@query
+def map_center_infinite(spark, sf_dir):
+    """Medians beside infinities on both sides."""
+    n = F.col("doc_id") % 10
+    side = F.when(n == 0, F.lit(float("inf"))).when(n == 1, F.lit(float("-inf"))).when(n == 2, 1e308)
+    rows = fixtures.tickets(spark, sf_dir).withColumn("latitude", F.coalesce(side, "latitude"))
+    found = aggregates.exact_medians(rows, ["latitude"], few=10, cells=8)
+    return found.select(rounded("latitude", 9).alias("latitude"))
+
+
+@query
+def stream_two_sources(spark, sf_dir):
+    """Two streams, each with its own progress, into one table."""
+    landed = exports.raw_path(_landed(spark, sf_dir), DAY)
+    table = scratch_dir(spark, "streamed")
+    for _ in range(2):
+        incremental_ingest(spark, landed, table, scratch_dir(spark, "progress")).awaitTermination()
+    return plain(tables.read_table(spark, table).select(*TICKET_COLUMNS))
+
+
 @query
 def backfill_vectors(spark, sf_dir):
     return cells(tables.read_vectors(spark, _backfilled(spark, sf_dir)), "ticket_id")
