@@ -1,7 +1,7 @@
 """Text quality by votes of the nearest labelled documents in a latent-semantic space.
 
 A document is a bag of word shapes: the runs of character classes of each word, whether the word
-repeats one of the two words before it, and how much of the text is new. Shapes weighted by rarity
+repeats one of the two words before it, and how many words of a block are new to it. Shapes weighted by rarity
 are projected on the leading singular vectors of the labelled sample. Each document's cosine
 products with all labelled vectors are computed in blocks, and the nearest ones vote with their
 similarity as weight.
@@ -30,6 +30,8 @@ NEIGHBOURS = 25
 SHARPNESS = 8
 CUT = 0.3
 BLOCK = 256
+# Repetition is counted within blocks of words, so that it does not grow with the text.
+BLOCK_WORDS = 64
 NEUTRAL = 0.5
 
 _SCORED = pa.schema([("doc_id", pa.int64()), ("score", pa.float64())])
@@ -70,10 +72,14 @@ def bags(texts: pa.Array, powers: Powers) -> np.ndarray:
             np.add.at(out, (row[same], _REPEAT_2), 1)
             size = words.ends - words.starts
             np.add.at(out, (row[size > 20], _LONG), 1)
-            for i in range(end - first):
-                own = hashes[words.rows[i] : words.rows[i + 1]]
-                if len(own):
-                    out[i, _NEW + min(9, int(10 * len(np.unique(own)) / len(own)))] = len(own)
+            place = np.arange(len(row)) - words.rows[row]
+            block = np.cumsum(place % BLOCK_WORDS == 0) - 1
+            order = np.lexsort((hashes, block))
+            new = np.ones(len(order), bool)
+            new[1:] = (hashes[order][1:] != hashes[order][:-1]) | (block[order][1:] != block[order][:-1])
+            held = np.bincount(block)
+            share = np.minimum(10 * np.bincount(block[order][new]) // held, 9)
+            np.add.at(out, (row[place % BLOCK_WORDS == 0], _NEW + share), held)
             out /= np.maximum(np.diff(words.rows), 1)[:, None]
         parts.append(np.sqrt(out))
     return np.concatenate(parts) if parts else np.zeros((0, TERMS), np.float32)
