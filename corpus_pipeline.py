@@ -37,16 +37,17 @@ def decided(docs: DataFrame, decisions: DataFrame, *columns: str) -> DataFrame:
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the votes of labelled neighbours do not reject."""
     labels = pin(spark).read.parquet(f"{sf_dir}/labels.parquet")
-    judged = decided(docs, quality.quality_scores(docs, labels), "predicted")
-    return judged.filter("predicted is null or predicted = 1").select(*COLUMNS)
+    judged = quality.quality_scores(docs, labels, keep=COLUMNS)
+    return judged.filter("predicted = 1").select(*COLUMNS)
 
 
 def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: the one with the smallest id."""
     judged = decided(docs, neardup.near_duplicates(docs), "kept")
     kept = judged.filter("kept is null or kept").select(*COLUMNS)
-    # Rows that repeat an id are copies of one document.
-    known = kept.filter("doc_id is not null").dropDuplicates(["doc_id"])
+    # A row that is there twice has one id and is kept twice so far.
+    known = kept.filter("doc_id is not null").withColumn("_copy", F.xxhash64("text"))
+    known = known.dropDuplicates(["doc_id", "_copy"]).drop("_copy")
     return known.unionByName(kept.filter("doc_id is null"))
 
 

@@ -9,13 +9,14 @@ similarity as weight.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from plaint.llm.batches import Powers, Words, chunks, column, mix, per_batch, small_batches
 
@@ -34,8 +35,6 @@ BLOCK = 256
 BLOCK_WORDS = 64
 NEUTRAL = 0.5
 
-_SCORED = pa.schema([("doc_id", pa.int64()), ("score", pa.float64())])
-
 # Classes of bytes: letters, digits, bytes of other scripts, space; each other sign is its own.
 _CLASS = np.arange(256, dtype=np.uint8)
 _CLASS[ord("a") : ord("z") + 1] = 1
@@ -180,8 +179,10 @@ def quality_scores(
     doc_id: str = "doc_id",
     text: str = "text",
     label: str = "quality",
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """One row per input row: doc_id, held_out, score, predicted.
+    """One row per input row: doc_id, held_out, score, predicted, and the columns to keep beside
+    them (their names differ from these). Scores are made where the rows are read: no shuffle.
 
     Learns from rows with a label whose fold is not held out, at most SAMPLE_PER_LABEL a label, of
     `learn_from` (default: the documents). The text is the only input of a score. Null, empty and
@@ -198,18 +199,20 @@ def quality_scores(
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers, votes = Powers(), Votes(*sent.value)
-
-        def score_rows(batch: pa.RecordBatch) -> dict:
-            return {"doc_id": column(batch, "doc_id"), "score": votes.score(bags(column(batch, "text"), powers))}
-
-        yield from per_batch(_SCORED, score_rows)(batches)
+        for batch in batches:
+            scores = votes.score(bags(batch.column(0), powers))
+            # The text itself goes on only if it is kept.
+            arrays = [*batch.columns[1:], pa.array(scores, pa.float64())]
+            yield pa.RecordBatch.from_arrays(arrays, names=[*batch.schema.names[1:], "score"])
 
     small_batches(spark)
-    scored = docs.selectExpr(f"cast(`{doc_id}` as bigint) as doc_id", f"`{text}` as text")
-    scored = scored.mapInArrow(work, "doc_id long, score double")
-    return scored.select(
-        "doc_id",
-        F.coalesce(F.expr(f"{fold('doc_id', FOLDS)} = {HELD_OUT}"), F.lit(False)).alias("held_out"),
+    given = docs.select(F.col(text).alias("_text"), F.col(doc_id).cast("bigint").alias("_id"), *keep)
+    added = T.StructType([*given.schema.fields[1:], T.StructField("score", T.DoubleType())])
+    shown = [F.col(name) for name in keep if name != "doc_id"]
+    return given.mapInArrow(work, added).select(
+        F.col("_id").alias("doc_id"),
+        *shown,
+        F.coalesce(F.expr(f"{fold('_id', FOLDS)} = {HELD_OUT}"), F.lit(False)).alias("held_out"),
         "score",
         (F.col("score") >= CUT).cast("int").alias("predicted"),
     )
