@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -142,8 +143,13 @@ def refresh_clusters(
     Predictions are made once, when the table is written, and not by every reader.
     """
     rows = tables.read_vectors(spark, vectors)
-    kmeans = models.fit_kmeans(rows, k)
-    pca = models.fit_pca(rows)
+    # Each fit passes over its input several times: ids and vectors are read and decoded once.
+    narrow = rows.select("ticket_id", "vector").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        kmeans = models.fit_kmeans(narrow, k)
+        pca = models.fit_pca(narrow)
+    finally:
+        narrow.unpersist()
     if model_root:
         models.save_model(kmeans, f"{model_root}/kmeans")
         models.save_model(pca, f"{model_root}/pca")
