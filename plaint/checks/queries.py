@@ -590,7 +590,8 @@ def fit_kmeans(spark, sf_dir):
     names, found = models.centers(model)
     placed = models.predict_clusters(rows, model).withColumn("vector", scaled("vector", model))
     means = aggregates.cluster_means(placed)
-    given = spark.createDataFrame([(n, c.tolist()) for n, c in zip(names, found)], "cluster string, center array<double>")
+    centers = [(name, center.tolist()) for name, center in zip(names, found)]
+    given = spark.createDataFrame(centers, "cluster string, center array<double>")
     checked = given.join(means, "cluster", "left")
     return checked.select(
         "cluster",
@@ -618,7 +619,8 @@ def project_components(spark, sf_dir):
     mean, axes = model.stages[0].mean.toArray(), model.stages[1].pc.toArray().T
     found = models.project_components(rows, model)
     products = vector.project("vector", axes, mean)
-    near = [F.coalesce(F.abs(F.col(name) - F.get(products, i)) < 1e-6, F.lit(True)) for i, name in enumerate(COMPONENTS)]
+    gaps = [F.abs(F.col(name) - F.get(products, i)) for i, name in enumerate(COMPONENTS)]
+    near = [F.coalesce(gap < 1e-6, F.lit(True)) for gap in gaps]
     return found.select(
         "doc_id",
         F.array_size(F.array_compact(F.array(*COMPONENTS))).alias("scores"),
@@ -633,7 +635,12 @@ def fit_pca(spark, sf_dir):
     axes, shares = model.stages[1].pc.toArray().T, model.stages[1].explainedVariance.toArray()
     gram = axes @ axes.T
     rows = [
-        (i + 1, bool(abs(gram[i, i] - 1) < 1e-9), bool(abs(gram[i, :i]).max(initial=0) < 1e-9), bool(i == 0 or shares[i] <= shares[i - 1]))
+        (
+            i + 1,
+            bool(abs(gram[i, i] - 1) < 1e-9),
+            bool(abs(gram[i, :i]).max(initial=0) < 1e-9),
+            bool(i == 0 or shares[i] <= shares[i - 1]),
+        )
         for i in range(len(axes))
     ]
     return spark.createDataFrame(rows, "component int, unit boolean, orthogonal boolean, ordered boolean")
@@ -734,7 +741,9 @@ def vectorize_repeat_empty(spark, sf_dir):
     again = jobs.daily_vectorize(spark, tickets, shown.limit(0), table, DAY, by_date=True)
     left = tables.read_vectors(spark, table).agg(F.count("*").alias("left_over"))
     return left.select(
-        F.lit(first.written).cast("bigint").alias("written"), F.lit(again.written).cast("bigint").alias("written_again"), "left_over"
+        F.lit(first.written).cast("bigint").alias("written"),
+        F.lit(again.written).cast("bigint").alias("written_again"),
+        "left_over",
     )
 
 
@@ -746,7 +755,9 @@ def run_metrics(spark, sf_dir):
         spark, _ticket_table(spark, sf_dir), fixtures.photos(spark, sf_dir), table, "2024-01-01"
     )
     return done.rejects.agg(F.count("*").alias("rejected")).select(
-        F.lit(done.fetched).cast("bigint").alias("fetched"), F.lit(done.written).cast("bigint").alias("written"), "rejected"
+        F.lit(done.fetched).cast("bigint").alias("fetched"),
+        F.lit(done.written).cast("bigint").alias("written"),
+        "rejected",
     )
 
 
