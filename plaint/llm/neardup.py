@@ -2,8 +2,10 @@
 
 A document is the set of its distinct five-word shingles. Documents with equal sets are one class
 and one node from then on, so a text copied a million times takes part once. Within a bucket the
-members are first compared with the bucket's smallest id only. That joins a group of near copies
-after one linear pass; only members of a bucket that are still apart are compared with each other.
+members are first compared with its hub only, the member that shares most buckets with others: that
+joins a group of edited copies after one linear pass. Members of a bucket that are still apart are
+compared with each other: with the members of a large group by blocks of full sets, and else pair
+by pair where their sketches allow it.
 """
 
 from __future__ import annotations
@@ -40,6 +42,10 @@ SKETCH_BITS = 512
 MOST_DIFFERENT = 110
 # Buckets larger than this are cut by a second shared band before members are paired.
 LARGE_BUCKET = 256
+# Groups larger than this are compared with outsiders by blocks of so many sets.
+LARGE_GROUP = 64
+QUERY_BLOCK = 512
+MEMBER_BLOCK = 1_024
 
 SIGNATURE_DDL = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, sketch array<long>"
 _SIGNATURE = pa.schema(
@@ -211,22 +217,20 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
 
     # A key holds its band's number, so keys of different bands do not meet.
     buckets = reps.select("rep", F.explode("bands").alias("key"))
-    hubs = buckets.groupBy("key").agg(F.min("rep").alias("hub"), F.max("rep").alias("top"))
-    hubs = hubs.filter("hub != top").drop("top")
-    shared = staged(buckets.join(hubs, "key"), "buckets")
-    sketches = reps.select("rep", "n_shingles", "sketch")
-
-    def sketched(pairs: DataFrame) -> DataFrame:
-        """Pairs whose sizes and sketches allow a link."""
-        for side in ("a", "b"):
-            own = sketches.select(F.col("rep").alias(side), F.col("n_shingles").alias(f"n_{side}"), F.col("sketch").alias(f"sketch_{side}"))
-            pairs = pairs.join(own, side)
-        small, large = F.least("n_a", "n_b"), F.greatest("n_a", "n_b")
-        pairs = pairs.filter(100 * small >= THRESHOLD_PERCENT * large)
-        return pairs.filter(different_bits("sketch_a", "sketch_b") <= MOST_DIFFERENT).select("a", "b").distinct()
-
-    stars = shared.filter("rep != hub").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()
-    stars = staged(sketched(stars), "stars")
+    sizes = buckets.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1")
+    shared = staged(buckets.join(sizes, "key"), "buckets")
+    degrees = staged(shared.groupBy("rep").agg(F.sum("size").alias("degree")), "degrees")
+    ranked = shared.join(degrees, "rep")
+    # Largest degree first, then the smallest id.
+    best = F.max(F.struct("degree", (-F.col("rep")).alias("minus"))).alias("best")
+    hubs = ranked.groupBy("key").agg(best).select("key", "best.degree", (-F.col("best.minus")).alias("hub"))
+    sketches = reps.select("rep", "n_shingles", "sketch", "bands")
+
+    stars = shared.select("key", "rep").join(hubs, "key").filter("rep != hub")
+    stars = stars.groupBy(F.col("hub").alias("a"), F.col("rep").alias("b")).agg(F.max("degree").alias("degree"))
+    for side in ("a", "b"):
+        stars = stars.join(_sketched(sketches, "rep", side), side)
+    stars = staged(stars.filter(_alike("a", "b")).select("a", "b", "degree"), "stars")
     sets = _sets(docs, shared.select(F.col("rep").alias("id")).distinct(), doc_id, text)
 
     def confirmed(pairs: DataFrame) -> DataFrame:
@@ -236,12 +240,17 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         return staged(both.select("a", "b", "items_a", "items_b").mapInArrow(_confirm, "a long, b long"), "links")
 
     # First each member with one hub; then the pairs with other hubs that are still apart.
-    first = confirmed(stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
+    first = stars.groupBy("b").agg(F.max_by("a", F.struct("degree", "a")).alias("a"))
+    first = confirmed(first.select("a", "b"))
     labels = components(first)
-    later = confirmed(_apart(stars.join(first, ["a", "b"], "left_anti"), labels))
-    labels = components(first.union(later))
-    # What is left: members of one bucket in different components. Hubs are compared already.
-    links = first.union(later).union(confirmed(sketched(_within(shared, labels))))
+    later = confirmed(_apart(stars.select("a", "b").join(first, ["a", "b"], "left_anti"), labels))
+    links = first.union(later)
+    labels = components(links)
+
+    # What is left: members of one bucket in different groups.
+    open_rows = _open_buckets(shared, labels)
+    links = links.union(confirmed(_pairs(open_rows, shared, sketches)))
+    links = links.union(_by_blocks(open_rows, labels, sets))
     labels = components(links)
 
     named = labels.select(F.col("id").alias("rep"), "component")
@@ -263,29 +272,141 @@ def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return pairs.filter("own_a != own_b").select("a", "b")
 
 
-def _within(shared: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs of members of one bucket in different components, but for pairs with the hub.
+def _sketched(sketches: DataFrame, key: str, side: str) -> DataFrame:
+    return sketches.select(
+        F.col(key).alias(side), F.col("n_shingles").alias(f"n_{side}"), F.col("sketch").alias(f"sketch_{side}")
+    )
 
-    Large buckets are cut by each further band that their members share; a pair at the threshold
-    shares none of 31 with probability 8e-6.
-    """
-    own = shared.join(labels.select(F.col("id").alias("rep"), "component"), "rep", "left")
-    own = own.withColumn("component", F.coalesce("component", "rep"))
+
+def _alike(a: str, b: str) -> Column:
+    """Whether sizes and sketches allow a link."""
+    small, large = F.least(f"n_{a}", f"n_{b}"), F.greatest(f"n_{a}", f"n_{b}")
+    sizes = 100 * small >= THRESHOLD_PERCENT * large
+    return sizes & (different_bits(f"sketch_{a}", f"sketch_{b}") <= MOST_DIFFERENT)
+
+
+def _open_buckets(shared: DataFrame, labels: DataFrame) -> DataFrame:
+    """Rows of the buckets whose members are in different groups, with group and group size, and
+    with the number of members and the largest group size of their bucket."""
+    groups = labels.groupBy("component").agg(F.count("*").alias("group_size"))
+    grouped = labels.join(groups, "component").select(F.col("id").alias("rep"), "component", "group_size")
+    own = shared.join(grouped, "rep", "left").select(
+        "key", "rep", F.coalesce("component", "rep").alias("component"), F.coalesce("group_size", F.lit(1)).alias("group_size")
+    )
     split = own.groupBy("key").agg(
-        F.count("*").alias("members"), F.min("component").alias("low"), F.max("component").alias("high")
+        F.count("*").alias("members"),
+        F.max("group_size").alias("largest"),
+        F.min("component").alias("low"),
+        F.max("component").alias("high"),
     )
-    split = split.filter("low != high").select("key", "members")
-    open_rows = staged(own.join(split, "key").filter("rep != hub").drop("hub"), "open")
-    small = open_rows.filter(F.col("members") <= LARGE_BUCKET)
-    small = small.withColumn("key_2", F.lit(0).cast("bigint"))
-    large = open_rows.filter(F.col("members") > LARGE_BUCKET)
+    return staged(own.join(split.filter("low != high").drop("low", "high"), "key"), "open")
+
+
+def _pairs(open_rows: DataFrame, shared: DataFrame, sketches: DataFrame) -> DataFrame:
+    """Pairs of one bucket in different groups, where sizes and sketches allow a link. Buckets that
+    a large group has members in are left to the blocks.
+
+    Large buckets are cut by each further band that their members share; a pair at the threshold
+    shares none of 31 with probability 8e-6. However many buckets a pair shares, it is emitted in
+    the one with the smallest key (and the largest further key).
+    """
+    small_groups = open_rows.filter(F.col("largest") <= LARGE_GROUP)
+    small = small_groups.filter(F.col("members") <= LARGE_BUCKET).withColumn("key_2", F.lit(0).cast("bigint"))
+    large = small_groups.filter(F.col("members") > LARGE_BUCKET)
     other = shared.select("rep", F.col("key").alias("key_2"))
     large = large.join(other, "rep").filter("key_2 != key")
-    rows = small.unionByName(large).select("key", "key_2", "rep", "component")
-    left = rows.select("key", "key_2", F.col("rep").alias("a"), F.col("component").alias("own_a"))
-    right = rows.select("key", "key_2", F.col("rep").alias("b"), F.col("component").alias("own_b"))
-    pairs = left.join(right, ["key", "key_2"]).filter("a < b and own_a != own_b")
-    return pairs.select("a", "b").distinct()
+    rows = small.unionByName(large).select("key", "key_2", "rep", "component").join(sketches, "rep")
+    names = ("rep", "component", "n_shingles", "sketch", "bands")
+    sides = [
+        rows.select("key", "key_2", *[F.col(c).alias(f"{c}_{side}") for c in names])
+        .withColumnsRenamed({f"rep_{side}": side, f"n_shingles_{side}": f"n_{side}"})
+        for side in ("a", "b")
+    ]
+    left, right = (side.alias(name) for side, name in zip(sides, ("l", "r")))
+    same = (F.col("l.key") == F.col("r.key")) & (F.col("l.key_2") == F.col("r.key_2"))
+    apart = (F.col("a") < F.col("b")) & (F.col("component_a") != F.col("component_b"))
+    both = F.array_intersect("bands_a", "bands_b")
+    once = (F.array_min(both) == F.col("l.key")) & (
+        (F.col("l.key_2") == 0) | (F.array_max(both) == F.col("l.key_2"))
+    )
+    return left.join(right, same & apart & _alike("a", "b") & once).select("a", "b").distinct()
+
+
+def _compare_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links between the queries (kind 0) and members (kind 1) of each block, which come together."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    current, sides = None, ([], [])
+    for batch in batches:
+        rows = zip(*(column(batch, n).to_pylist() for n in ("group", "q", "m", "kind", "id", "items")))
+        for group, q, m, kind, key, items in rows:
+            if (group, q, m) != current:
+                yield from _block_links(sides, schema)
+                current, sides = (group, q, m), ([], [])
+            sides[kind].append((key, np.frombuffer(items, np.uint64)))
+    yield from _block_links(sides, schema)
+
+
+def _block_links(sides: tuple[list, list], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """Exact intersections of all queries with all members: members' items are numbered by the
+    queries' vocabulary once, and each query then counts its flags under them."""
+    queries, members = sides
+    if not queries or not members:
+        return
+    vocabulary = np.unique(np.concatenate([items for _, items in queries]))
+    sizes = np.array([len(items) for _, items in members])
+    joined = np.concatenate([items for _, items in members])
+    place = np.minimum(np.searchsorted(vocabulary, joined), len(vocabulary) - 1)
+    known = vocabulary[place] == joined
+    place, owner = place[known], np.repeat(np.arange(len(members)), sizes)[known]
+    a, b = [], []
+    for key, items in queries:
+        flags = np.zeros(len(vocabulary), bool)
+        flags[np.searchsorted(vocabulary, items)] = True
+        both = np.bincount(owner[flags[place]], minlength=len(members))
+        for i in np.flatnonzero(100 * both >= THRESHOLD_PERCENT * (len(items) + sizes - both)):
+            a.append(key)
+            b.append(members[i][0])
+    if a:
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], schema=schema)
+
+
+def _by_blocks(open_rows: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links between large groups and the documents of other, smaller groups in their buckets, and
+    among these documents.
+
+    Such a document is compared with the whole group and with the others of its kind, once, however
+    many buckets they share. Both sides are cut into blocks, and each block of one side meets each
+    block of the other in a task of its own, so nothing but links is emitted and no task holds
+    more than two blocks.
+    """
+    large = open_rows.filter(F.col("group_size") > LARGE_GROUP)
+    large = large.select("key", F.col("component").alias("group"), F.col("group_size").alias("size")).distinct()
+    queries = open_rows.join(large, "key").filter(
+        (F.col("component") != F.col("group"))
+        & (F.struct("group_size", "component") < F.struct(F.col("size").alias("group_size"), F.col("group").alias("component")))
+    )
+    queries = staged(queries.select("group", "size", F.col("rep").alias("id")).distinct(), "queries")
+    counts = queries.groupBy("group", "size").agg(
+        F.expr(f"(count(*) + {QUERY_BLOCK - 1}) div {QUERY_BLOCK}").alias("q_blocks"),
+        F.expr(f"(size + count(*) + {MEMBER_BLOCK - 1}) div {MEMBER_BLOCK}").alias("m_blocks"),
+    ).drop("size")
+
+    def block(blocks: str) -> Column:
+        return F.pmod(F.xxhash64("id"), F.col(blocks))
+
+    def each(blocks: str) -> Column:
+        return F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(blocks) - 1))
+
+    asked = queries.drop("size").join(counts, "group").withColumn("q", block("q_blocks")).withColumn("m", each("m_blocks"))
+    members = labels.select(F.col("component").alias("group"), "id").unionByName(queries.select("group", "id"))
+    members = members.join(counts, "group")
+    members = members.withColumn("m", block("m_blocks")).withColumn("q", each("q_blocks"))
+    names = ["group", "q", "m", "kind", "id"]
+    rows = asked.withColumn("kind", F.lit(0)).select(*names).union(members.withColumn("kind", F.lit(1)).select(*names))
+    rows = rows.join(sets, "id").select(*names, "items")
+    rows = rows.repartition("group", "q", "m").sortWithinPartitions("group", "q", "m", "kind", "id")
+    small_batches(sets.sparkSession)
+    return staged(rows.mapInArrow(_compare_blocks, "a long, b long"), "links")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, doc_id: str, text: str) -> DataFrame:

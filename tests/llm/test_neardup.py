@@ -78,6 +78,14 @@ def test_large_buckets_are_cut_by_a_second_band(docs, monkeypatch):
     assert found(neardup.near_duplicates(docs(rows))) == brute(list(enumerate(rows)))
 
 
+def test_large_groups_are_compared_by_blocks(docs, monkeypatch):
+    monkeypatch.setattr(neardup, "LARGE_GROUP", 1)
+    monkeypatch.setattr(neardup, "QUERY_BLOCK", 2)
+    monkeypatch.setattr(neardup, "MEMBER_BLOCK", 3)
+    rows = near_copies(8)
+    assert found(neardup.near_duplicates(docs(rows))) == brute(list(enumerate(rows)))
+
+
 def test_odd_rows(docs):
     rows = [
         (1, None),
