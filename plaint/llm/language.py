@@ -32,7 +32,7 @@ BATCH = 64
 RATE = 0.01
 NO_LANGUAGE = "und"
 # Windows that are scored at a time.
-BLOCK = 256
+BLOCK = 128
 
 _LABELLED = pa.schema([("doc_id", pa.int64()), ("lang_pred", pa.string()), ("score", pa.float64())])
 
@@ -96,15 +96,17 @@ class Network:
         return out
 
     def log_probabilities(self, windows: np.ndarray, pairs: dict[int, list[np.ndarray]]) -> np.ndarray:
-        both = windows[:, :-1].astype(np.int32) * CLASSES + windows[:, 1:]
+        # Positions first: sums and maxima then run along whole rows of memory.
+        single = np.ascontiguousarray(windows.T).astype(np.intp)
+        both = single[:-1] * CLASSES + single[1:]
         pooled = []
         for width, steps in pairs.items():
             span = WINDOW_BYTES - width + 1
-            total = np.take(steps[0], both[:, :span], axis=0)
+            total = np.take(steps[0], both[:span], axis=0, mode="clip")
             for j, table in enumerate(steps[1:], 1):
-                source = both if len(table) == CLASSES * CLASSES else windows
-                total += np.take(table, source[:, 2 * j : 2 * j + span], axis=0)
-            pooled.append(np.maximum(total.max(axis=1) + self.bias[width], 0))
+                source = both if len(table) == CLASSES * CLASSES else single
+                total += np.take(table, source[2 * j : 2 * j + span], axis=0, mode="clip")
+            pooled.append(np.maximum(total.max(axis=0) + self.bias[width], 0))
         return log_softmax(np.concatenate(pooled, axis=1) @ self.output + self.output_bias)
 
 

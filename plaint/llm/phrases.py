@@ -26,6 +26,7 @@ from plaint.llm.batches import Powers, Words, chunks, column, ngrams, per_batch,
 WINDOW_WORDS = 35
 ANCHOR_WORDS = 8
 ANCHORS = WINDOW_WORDS - ANCHOR_WORDS + 1
+PLACE_BITS = 24
 # Documents whose phrases make one automaton, and documents that one task streams through it.
 REPS_PER_SHARD = 100
 DOCS_PER_TASK = 2_000
@@ -62,17 +63,25 @@ _SPANS = pa.schema([("uid", pa.int64()), ("spans", pa.list_(pa.int32()))])
 
 
 def sliding_argmin(values: np.ndarray, width: int) -> np.ndarray:
-    """Position of the first smallest value of each full window."""
-    best, place = values, np.arange(len(values))
+    """Position of the first smallest value of each full window, by the values' upper 40 bits.
+
+    Value and position are one number, so a minimum gives both; a text too long for that keeps the
+    positions beside.
+    """
+    if len(values) <= 1 << PLACE_BITS:
+        mask = np.uint64((1 << PLACE_BITS) - 1)
+        best, place = (values & ~mask) | np.arange(len(values), dtype=np.uint64), None
+    else:
+        best, place = values >> np.uint64(PLACE_BITS), np.arange(len(values))
     done = 1
     while done < width:
         step = min(done, width - done)
         left, right = best[: len(best) - step], best[step:]
-        first = left <= right
-        best = np.where(first, left, right)
-        place = np.where(first, place[: len(place) - step], place[step:])
+        if place is not None:
+            place = np.where(left <= right, place[: len(place) - step], place[step:])
+        best = np.minimum(left, right)
         done += step
-    return place
+    return (best & mask).astype(np.int64) if place is None else place
 
 
 class Zones:

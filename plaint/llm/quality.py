@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plaint.llm.batches import Powers, Words, chunks, column, mix, per_batch, small_batches
+from plaint.llm.batches import Powers, Words, chunks, column, per_batch, small_batches
 
 FOLDS = 5
 HELD_OUT = 0

@@ -25,7 +25,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plaint.llm.batches import Powers, chunks, column, mix, per_batch, small_batches, staged
+from plaint.llm.batches import CHUNK_BYTES, Powers, chunks, column, mix, per_batch, small_batches, staged
 from plaint.llm.phrases import sliding_argmin
 
 MATCH = 50
@@ -102,6 +102,23 @@ class ByteZones:
         self.key = mix(mix(self.g) + self.z)
 
 
+def zones_of(texts: list[bytes], powers: Powers) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """First and last starts, anchors and keys of the zones of each text, worked on together."""
+    first = 0
+    while first < len(texts):
+        end, size = first, 0
+        while end < len(texts) and (end == first or size + len(texts[end]) <= CHUNK_BYTES):
+            size += len(texts[end])
+            end += 1
+        rows = np.cumsum([0, *map(len, texts[first:end])])
+        zones = ByteZones(np.frombuffer(b"".join(texts[first:end]), np.uint8), rows, powers)
+        cuts = np.searchsorted(zones.row, np.arange(end - first + 1))
+        for r in range(end - first):
+            own = slice(cuts[r], cuts[r + 1])
+            yield zones.first[own] - rows[r], zones.last[own] - rows[r], zones.g[own], zones.key[own]
+        first = end
+
+
 def bucket_of(values: np.ndarray, buckets: int) -> np.ndarray:
     return (mix(values.view(np.uint64)) % np.uint64(buckets)).astype(np.int32)
 
@@ -162,7 +179,8 @@ def unpack_pairs(blob: bytes) -> np.ndarray:
 
 def _blob_batch(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
     kinds, buckets, blobs = zip(*rows)
-    return pa.RecordBatch.from_arrays([pa.array(kinds, pa.int32()), pa.array(buckets, pa.int32()), pa.array(blobs, pa.binary())], schema=_BLOBS)
+    arrays = [pa.array(kinds, pa.int32()), pa.array(buckets, pa.int32()), pa.array(blobs, pa.binary())]
+    return pa.RecordBatch.from_arrays(arrays, schema=_BLOBS)
 
 
 def zone_key(g: np.ndarray, z: np.ndarray) -> np.ndarray:
@@ -308,7 +326,9 @@ def _parse(buckets: int):
             kinds, places = column(batch, "kind").to_pylist(), column(batch, "bucket").to_pylist()
             packed = column(batch, "blob").to_pylist()
             uids, ids = column(batch, "uid").to_pylist(), column(batch, "doc_id").to_pylist()
-            for i, kind in enumerate(kinds):
+            raws = [unpack.decompress(p) if k == TEXT else b"" for p, k in zip(packed, kinds)]
+            found = zones_of(raws, powers)
+            for i, (kind, raw, (first, last, g, keys)) in enumerate(zip(kinds, raws, found)):
                 if places[i] != current:
                     current, blobs, known = places[i], {MATCHES: [], REQUESTS: []}, None
                 if kind != TEXT:
@@ -317,21 +337,17 @@ def _parse(buckets: int):
                 if known is None:
                     known = {k: Known(v) for k, v in blobs.items()}
                     blobs = {MATCHES: [], REQUESTS: []}
-                raw = unpack.decompress(packed[i])
-                content = np.frombuffer(raw, np.uint8)
-                zones = ByteZones(content, np.array([0, len(content)]), powers)
-                names = named(np.full(len(zones.key), uids[i], np.int64), zones.key)
+                names = named(np.full(len(keys), uids[i], np.int64), keys)
                 gone = known[MATCHES].holds(names)
-                spans = merged(zones.first[gone], zones.last[gone] + MATCH)
+                spans = merged(first[gone], last[gone] + MATCH)
                 asked = np.flatnonzero(known[REQUESTS].holds(names))
                 open_text = len(spans) or len(asked)
                 digest = None if open_text else hashlib.sha256(raw).hexdigest()
                 out.append((ids[i], uids[i], len(raw), spans, digest, packed[i] if open_text else None, None, None, None))
-                _, once = np.unique(zones.key[asked], return_index=True)
+                _, once = np.unique(keys[asked], return_index=True)
                 for j in asked[once]:
-                    lo, hi = zones.first[j], zones.last[j] + MATCH
-                    g = int(zones.g[j])
-                    out.append((None, uids[i], None, None, None, raw[lo:hi], g % buckets, g, int(zones.key[j].view(np.int64))))
+                    content, anchor = raw[first[j] : last[j] + MATCH], int(g[j])
+                    out.append((None, uids[i], None, None, None, content, anchor % buckets, anchor, int(keys[j].view(np.int64))))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), _PARSED)], schema=_PARSED)
 
@@ -482,14 +498,15 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def work(batch: pa.RecordBatch) -> dict:
         out: dict = {name: [] for name in _CUT.names}
         out["doc_id"], out["n_bytes"] = column(batch, "doc_id"), column(batch, "n_bytes")
-        rows = zip(*(column(batch, n).to_pylist() for n in ("content", "spans", "edges")))
-        for packed, spans, edges in rows:
-            raw = unpack.decompress(packed)
+        raws = [unpack.decompress(p) for p in column(batch, "content").to_pylist()]
+        asked = column(batch, "edges").to_pylist()
+        found_zones = zones_of([raw if edges else b"" for raw, edges in zip(raws, asked)], powers)
+        rows = zip(raws, column(batch, "spans").to_pylist(), asked, found_zones)
+        for raw, spans, edges, (first, _, _, keys) in rows:
             low, high = [np.array(spans[::2], np.int64)], [np.array(spans[1::2], np.int64)]
             if edges:
-                zones = ByteZones(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]), powers)
                 places: dict[int, list[int]] = {}
-                for at, key in zip(zones.first.tolist(), zones.key.view(np.int64).tolist()):
+                for at, key in zip(first.tolist(), keys.view(np.int64).tolist()):
                     places.setdefault(key, []).append(at)
                 found = [(at + e["low"], at + e["high"] + MATCH) for e in edges for at in places[e["key"]]]
                 low.append(np.array([f[0] for f in found], np.int64))
@@ -537,8 +554,13 @@ def remove_earlier_bytes(docs: DataFrame, doc_id: str = "doc_id", text: str = "t
     edges = edges.groupBy("uid").agg(F.collect_list(F.struct("key", "low", "high")).alias("edges"))
 
     whole = parsed.filter("bucket is null")
+    none = F.lit(0).cast("bigint")
     done = whole.filter("content is null").select(
-        "doc_id", "n_bytes", F.lit(0).cast("bigint").alias("n_removed"), F.lit(0).cast("bigint").alias("n_spans"), F.col("sha256").alias("kept_sha256")
+        "doc_id",
+        "n_bytes",
+        none.alias("n_removed"),
+        none.alias("n_spans"),
+        F.col("sha256").alias("kept_sha256"),
     )
     open_texts = whole.filter("content is not null").select("doc_id", "uid", "n_bytes", "spans", "content")
     cut = open_texts.join(edges, "uid", "left").select("doc_id", "n_bytes", "spans", "content", "edges")
