@@ -40,7 +40,7 @@ SKETCH_BITS = 512
 # Two Odd sketches at 0.75 differ in 57 bits on average, with a deviation of 9. More than 110 mean
 # 72 differing samples of 128 where 32 are expected: 8 deviations, a similarity of about 0.44.
 MOST_DIFFERENT = 110
-# Buckets larger than this are cut by a second shared band before members are paired.
+# Buckets larger than this are cut into blocks of about so many members before these are paired.
 LARGE_BUCKET = 256
 # Groups larger than this are compared with outsiders by blocks of so many sets.
 LARGE_GROUP = 64
@@ -249,7 +249,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
 
     # What is left: members of one bucket in different groups.
     open_rows = _open_buckets(shared, labels)
-    links = links.union(confirmed(_pairs(open_rows, shared, sketches)))
+    links = links.union(confirmed(_pairs(open_rows, sketches)))
     links = links.union(_by_blocks(open_rows, labels, sets))
     labels = components(links)
 
@@ -302,33 +302,33 @@ def _open_buckets(shared: DataFrame, labels: DataFrame) -> DataFrame:
     return staged(own.join(split.filter("low != high").drop("low", "high"), "key"), "open")
 
 
-def _pairs(open_rows: DataFrame, shared: DataFrame, sketches: DataFrame) -> DataFrame:
+def _pairs(open_rows: DataFrame, sketches: DataFrame) -> DataFrame:
     """Pairs of one bucket in different groups, where sizes and sketches allow a link. Buckets that
     a large group has members in are left to the blocks.
 
-    Large buckets are cut by each further band that their members share; a pair at the threshold
-    shares none of 31 with probability 8e-6. However many buckets a pair shares, it is emitted in
-    the one with the smallest key (and the largest further key).
+    Large buckets are cut into blocks, and each block meets each block of its bucket under a join
+    key of its own, so the size of a bucket changes the plan and not the pairs. However many
+    buckets a pair shares, it is emitted in the one with the smallest key.
     """
-    small_groups = open_rows.filter(F.col("largest") <= LARGE_GROUP)
-    small = small_groups.filter(F.col("members") <= LARGE_BUCKET).withColumn("key_2", F.lit(0).cast("bigint"))
-    large = small_groups.filter(F.col("members") > LARGE_BUCKET)
-    other = shared.select("rep", F.col("key").alias("key_2"))
-    large = large.join(other, "rep").filter("key_2 != key")
-    rows = small.unionByName(large).select("key", "key_2", "rep", "component").join(sketches, "rep")
+    blocks = F.expr(f"(members + {LARGE_BUCKET - 1}) div {LARGE_BUCKET}")
+    rows = open_rows.filter(F.col("largest") <= LARGE_GROUP)
+    rows = rows.select("key", "rep", "component", blocks.alias("blocks")).join(sketches, "rep")
+    own = F.pmod(F.xxhash64("rep"), F.col("blocks"))
+    each = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1))
     names = ("rep", "component", "n_shingles", "sketch", "bands")
     sides = [
-        rows.select("key", "key_2", *[F.col(c).alias(f"{c}_{side}") for c in names])
+        rows.withColumn(f"block_{side}", own)
+        .withColumn(f"block_{other}", each)
+        .select("key", "block_a", "block_b", *[F.col(c).alias(f"{c}_{side}") for c in names])
         .withColumnsRenamed({f"rep_{side}": side, f"n_shingles_{side}": f"n_{side}"})
-        for side in ("a", "b")
+        for side, other in (("a", "b"), ("b", "a"))
     ]
     left, right = (side.alias(name) for side, name in zip(sides, ("l", "r")))
-    same = (F.col("l.key") == F.col("r.key")) & (F.col("l.key_2") == F.col("r.key_2"))
+    same = F.col("l.key") == F.col("r.key")
+    for block in ("block_a", "block_b"):
+        same = same & (F.col(f"l.{block}") == F.col(f"r.{block}"))
     apart = (F.col("a") < F.col("b")) & (F.col("component_a") != F.col("component_b"))
-    both = F.array_intersect("bands_a", "bands_b")
-    once = (F.array_min(both) == F.col("l.key")) & (
-        (F.col("l.key_2") == 0) | (F.array_max(both) == F.col("l.key_2"))
-    )
+    once = F.array_min(F.array_intersect("bands_a", "bands_b")) == F.col("l.key")
     return left.join(right, same & apart & _alike("a", "b") & once).select("a", "b").distinct()
 
 

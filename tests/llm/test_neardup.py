@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from plaint.llm import neardup
 
@@ -78,6 +79,24 @@ def test_large_buckets_are_cut_by_a_second_band(docs, monkeypatch):
     assert found(neardup.near_duplicates(docs(rows))) == brute(list(enumerate(rows)))
 
 
+def test_pairs_that_share_only_a_large_bucket(docs, monkeypatch):
+    signatures = neardup.signatures
+
+    def one_shared_band(*args):
+        keys = "transform(bands, (b, i) -> if(i = 0, 7L, xxhash64(i, doc_id)))"
+        return signatures(*args).withColumn("bands", F.expr(keys))
+
+    monkeypatch.setattr(neardup, "signatures", one_shared_band)
+    monkeypatch.setattr(neardup, "LARGE_BUCKET", 3)
+    texts = [[f"{i}w{j}" for j in range(60)] for i in range(9)]
+    # Near copies of texts that are not the hub of the bucket.
+    texts += [[*texts[i][:-2], "x", "y"] for i in (2, 5, 5, 8)]
+    rows = [" ".join(t) for t in texts]
+    expected = brute(list(enumerate(rows)))
+    assert sum(not kept for *_, kept in expected) == 4
+    assert found(neardup.near_duplicates(docs(rows))) == expected
+
+
 def test_large_groups_are_compared_by_blocks(docs, monkeypatch):
     monkeypatch.setattr(neardup, "LARGE_GROUP", 1)
     monkeypatch.setattr(neardup, "QUERY_BLOCK", 2)
