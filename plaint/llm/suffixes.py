@@ -505,10 +505,11 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for raw, spans, edges, (first, _, _, keys) in rows:
             low, high = [np.array(spans[::2], np.int64)], [np.array(spans[1::2], np.int64)]
             if edges:
+                # Edges of another text under this id have keys that this text may not have.
                 places: dict[int, list[int]] = {}
                 for at, key in zip(first.tolist(), keys.view(np.int64).tolist()):
                     places.setdefault(key, []).append(at)
-                found = [(at + e["low"], at + e["high"] + MATCH) for e in edges for at in places[e["key"]]]
+                found = [(at + e["low"], at + e["high"] + MATCH) for e in edges for at in places.get(e["key"], ())]
                 low.append(np.array([f[0] for f in found], np.int64))
                 high.append(np.array([f[1] for f in found], np.int64))
             low_all, high_all = np.concatenate(low), np.concatenate(high)

@@ -79,6 +79,21 @@ def test_rows_without_or_with_one_id(docs):
     assert answer == {(None, 60), (3, 0), (4, 0)}
 
 
+def test_different_texts_under_one_id(docs):
+    random.seed(11)
+    left, right, third = text(300), text(300), text(200)
+    rows = [
+        (1, text(90) + left[:170] + text(90)),
+        (2, text(90) + right[:170] + text(90)),
+        (3, text(40) + left[40:] + text(80)),
+        (3, text(70) + right[60:] + third),
+        (3, third + text(100)),
+    ]
+    answer = found(suffixes.remove_earlier_bytes(docs(rows)))
+    assert answer == brute(rows)
+    assert [removed > 0 for i, _, removed, *_ in answer if i == 3].count(True) == 2
+
+
 def test_empty_table(docs):
     assert found(suffixes.remove_earlier_bytes(docs([(1, "x")]).limit(0))) == []
 
