@@ -53,7 +53,10 @@ def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages that recur; a text that loses nothing stays as it is."""
-    judged = decided(docs, phrases.remove_repeats(docs, with_text=True), "kept_text")
+    # By id and text, so that no text gets what is left of another one under its id.
+    cut = phrases.remove_repeats(docs, with_text=True).filter("doc_id is not null")
+    cut = cut.select("doc_id", "text_key", "kept_text").dropDuplicates(["doc_id", "text_key"])
+    judged = docs.select(*COLUMNS, F.xxhash64("text").alias("text_key")).join(cut, ["doc_id", "text_key"], "left")
     text = F.coalesce("kept_text", "text")
     lost = F.col("kept_text").isNotNull()
     return judged.select(

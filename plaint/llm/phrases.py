@@ -36,6 +36,7 @@ _ZONED = pa.schema(
     [
         ("doc_id", pa.int64()),
         ("uid", pa.int64()),
+        ("text_key", pa.int64()),
         ("n_words", pa.int64()),
         ("text_a", pa.int64()),
         ("text_b", pa.int64()),
@@ -44,7 +45,7 @@ _ZONED = pa.schema(
     ]
 )
 ZONED_DDL = (
-    "doc_id long, uid long, n_words long, text_a long, text_b long, sha256 string, "
+    "doc_id long, uid long, text_key long, n_words long, text_a long, text_b long, sha256 string, "
     "zones array<struct<g: long, z: long, n: int>>"
 )
 _PHRASES = pa.schema(
@@ -141,6 +142,7 @@ def _zone_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         return {
             "doc_id": column(batch, "doc_id"),
             "uid": column(batch, "uid"),
+            "text_key": column(batch, "text_key"),
             "n_words": sizes,
             "text_a": np.concatenate(whole_a),
             "text_b": np.concatenate(whole_b),
@@ -252,19 +254,28 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", with_text: bool = False) -> DataFrame:
     """One row per input row: doc_id, n_words, n_removed, kept_sha256; with_text adds kept_text,
-    the words that are left, joined by a space (NULL where nothing was removed).
+    the words that are left, joined by a space (NULL where nothing was removed), and text_key, the
+    xxhash64 of the text.
 
     A word goes when a 35-word window over it starts anywhere else too, in the same document or in
     another. Null, empty and short texts lose nothing. Equal texts are one node: each copy of a
     text of 35 words or more loses all its words. A row without an id stands for itself, by its
-    text. Rows that share an id are taken as repeats of one text. Other columns are ignored.
+    text, and so does each text of an id that has several. Other columns are ignored.
     """
     spark = docs.sparkSession
     small_batches(spark)
     rows = docs.selectExpr(
-        f"cast(`{doc_id}` as bigint) as doc_id",
-        f"coalesce(cast(`{doc_id}` as bigint), xxhash64(`{text}`) | shiftleft(1L, 63)) as uid",
-        f"`{text}` as text",
+        f"cast(`{doc_id}` as bigint) as doc_id", f"xxhash64(`{text}`) as text_key", f"`{text}` as text"
+    )
+    ids = rows.filter("doc_id is not null").groupBy(F.col("doc_id").alias("several"))
+    several = ids.agg(F.min("text_key").alias("low"), F.max("text_key").alias("high")).filter("low != high")
+    several = staged(several.select("several"), "several")
+    rows = rows.join(several, F.col("doc_id") == F.col("several"), "left").selectExpr(
+        "doc_id",
+        "case when doc_id is null then text_key | shiftleft(1L, 63)"
+        " when several is not null then xxhash64(doc_id, text) | shiftleft(1L, 63) else doc_id end as uid",
+        "text_key",
+        "text",
     )
     zoned = staged(rows.mapInArrow(_zone_batches, ZONED_DDL), "zones")
     same = ["n_words", "text_a", "text_b"]
@@ -280,7 +291,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     routes = zones.join(recurring.select("g", "z", "rep"), ["g", "z"]).select("uid", "rep").distinct()
     routes = staged(routes, "routes")
-    unique_rows = rows.drop("doc_id").join(routes.select("uid").distinct(), "uid", "left_semi").dropDuplicates(["uid"])
+    unique_rows = rows.select("uid", "text").join(routes.select("uid").distinct(), "uid", "left_semi").dropDuplicates(["uid"])
     texts = staged(unique_rows, "texts")
 
     wanted = recurring.groupBy(F.col("rep").alias("uid")).agg(
@@ -318,12 +329,13 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     lost = F.when(copied, F.col("n_words")).otherwise(F.coalesce("n_removed", F.lit(0)))
     answer = placed.select(
         "doc_id",
+        "text_key",
         "n_words",
         lost.cast("bigint").alias("n_removed"),
         F.when(copied, F.lit(NO_WORDS_SHA)).otherwise(F.coalesce("cut_sha256", "sha256")).alias("kept_sha256"),
         F.when(copied, F.lit("")).when(F.col("n_removed") > 0, F.col("kept")).alias("kept_text"),
     )
-    return answer if with_text else answer.drop("kept_text")
+    return answer if with_text else answer.drop("text_key", "kept_text")
 
 
 def _confirmed(found: DataFrame) -> DataFrame:

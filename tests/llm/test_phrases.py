@@ -92,5 +92,18 @@ def test_kept_text(docs):
     assert answer == {0: "a b c", 1: "d", 2: None}
 
 
+def test_different_texts_under_one_id(docs):
+    random.seed(17)
+    left, right = words(80), words(80)
+    rows = [
+        (1, " ".join(words(30) + left)),
+        (2, " ".join(words(30) + right)),
+        (3, " ".join(left + words(50))),
+        (3, " ".join(words(20) + right + words(10))),
+        (3, " ".join(words(60))),
+    ]
+    assert found(phrases.remove_repeats(docs(rows))) == brute(rows)
+
+
 def test_empty_table(docs):
     assert found(phrases.remove_repeats(docs([(1, "x")]).limit(0))) == []

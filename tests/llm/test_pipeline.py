@@ -79,3 +79,15 @@ def test_odd_documents(spark, docs, tmp_path):
         for _, stage in corpus_pipeline.STAGES:
             current = stage(spark, current, SF_DIR)
         assert current.count() >= 0
+
+
+def test_texts_under_one_id_are_cut_each_by_itself(spark, docs):
+    def unlike(name, n):
+        return " ".join(f"{name}{i}" for i in range(n))
+
+    shared, other = unlike("s", 60), unlike("t", 60)
+    rows = [(1, f"{unlike('a', 9)} {shared}"), (2, f"{unlike('b', 9)} {other}")]
+    rows += [(3, f"{shared} {unlike('c', 9)}"), (3, f"{unlike('d', 9)} {other}"), (3, unlike("e", 70))]
+    after = corpus_pipeline.substring_dedup(spark, docs(rows).select(*corpus_pipeline.COLUMNS), SF_DIR)
+    expected = [(1, unlike("a", 9)), (2, unlike("b", 9)), (3, unlike("c", 9)), (3, unlike("d", 9)), (3, unlike("e", 70))]
+    assert sorted((r.doc_id, r.text) for r in after.collect()) == expected
