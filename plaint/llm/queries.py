@@ -16,6 +16,7 @@ from plaint.llm import (
     quality,
     sharding,
     suffixes,
+    tokencounts,
     warc,
 )
 from plaint.session import pin
@@ -81,3 +82,8 @@ def op9_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_phrase_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.document_fingerprints(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_rank_synchronous_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencounts.token_counts(table(spark, sf_dir, "documents"))

@@ -13,7 +13,7 @@ SF_DIR = "/root/testdata/sf0.001"
 
 
 def test_numbers_and_sql():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, len(QUERIES) + 1))
     assert set(ORACLES) <= set(QUERIES) and corpus_pipeline.ORACLE_SQL is None
 
 
