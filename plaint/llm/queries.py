@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from plaint.llm import (
+    alignment,
     decontaminate,
     fingerprints,
     language,
@@ -87,3 +88,8 @@ def op10_phrase_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op11_rank_synchronous_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencounts.token_counts(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_coalesced_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_tokens(table(spark, sf_dir, "documents"))
