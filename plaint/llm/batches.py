@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +23,18 @@ _NGRAM = 0xD1342543DE82EF95
 _MASK = (1 << 64) - 1
 
 
+@contextmanager
+def batch_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Arrow batches of so many rows for what runs within; the session's own setting comes back."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     """Arrow batches of few rows, since one row is a whole document."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

@@ -144,3 +144,28 @@ select doc_id, n_bytes::BIGINT as n_bytes, coalesce(n_removed, 0)::BIGINT as n_r
   sha256(unhex(coalesce(head || tail, digits))) as kept_sha256
 from texts left join kept using (doc_id)
 """
+
+ORACLES["op12_hilbert_block_negatives"] = """
+with vectors as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) as v
+  from embeddings
+  where vec_id is not null and label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), scored as (
+  select a.vec_id as anchor_id, r.vec_id, r.label = a.label as own,
+    list_dot_product(a.v, r.v)::BIGINT as score
+  from vectors a join vectors r on r.vec_id <> a.vec_id
+  where a.vec_id % 100 = 0
+), positives as (
+  select anchor_id, vec_id as positive_id, score as positive_score
+  from scored where own
+  qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5
+)
+select anchor_id, positive_id,
+  row_number() over (partition by anchor_id, positive_id order by score desc, vec_id)::INT as rank,
+  vec_id as negative_id, positive_score, score as negative_score
+from positives join scored using (anchor_id)
+where not own and 30 * positive_score <= 100 * score and 100 * score <= 90 * positive_score
+qualify row_number() over (partition by anchor_id, positive_id order by score desc, vec_id) <= 10
+"""

@@ -5,12 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from plaint.llm import (
     alignment,
     decontaminate,
     fingerprints,
     language,
+    negatives,
     neardup,
     packing,
     phrases,
@@ -90,6 +92,13 @@ def op11_rank_synchronous_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencounts.token_counts(table(spark, sf_dir, "documents"))
 
 
+@query
+def op12_hilbert_block_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    moved = vectors.withColumn("label", F.expr("case when vec_id % 7 = 0 then (label + 1) % 10 else label end"))
+    return negatives.hard_negatives(moved, "vec_id % 100 = 0")
+
+
 @query
 def op13_coalesced_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align_tokens(table(spark, sf_dir, "documents"))
