@@ -243,6 +243,23 @@ from (select page_id, unnest(range(len(items))) as position, unnest(items) as it
             from pages))
 """
 
+_SPACES = r"[\s\x{0b}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]*"
+
+# What the lists of the derived news pages hold, by their kind.
+_NEWS = rf"""
+select page_id, unnest(range(len(items)))::int as position, unnest(items)[1] as time,
+  unnest(items)[2] as description
+from (
+  select doc_id as page_id, case doc_id % 4
+    when 0 then [[n, d], [n || 'b', ''], ['', '']]
+    when 1 then [[n, d], ['in', d], ['', 'last']]
+    when 2 then [[n, d], ['nextendbold', 'endbold'], ['', 'endbold']]
+    else [[n || d, d]] end as items
+  from (select doc_id, 'N' || doc_id as n,
+          regexp_replace(coalesce(text, ''), '^{_SPACES}|{_SPACES}$', '', 'g') as d
+        from documents))
+"""
+
 _CENTRAL = """
 select cluster, arg_min(coalesce(comment, ''), (d, k)) as summary
 from (select v.cluster, comment, {key} as k,
@@ -304,6 +321,7 @@ ORACLES: dict[str, str] = {
         from ({_BOX})""",
     ),
     "extract_list_items": _ITEMS,
+    "news_list_items": _NEWS,
     "attach_photo_bytes": _with(
         "tickets photos",
         """select doc_id, coalesce(octet_length(content), 0)::int as bytes,
@@ -681,5 +699,6 @@ ORACLES: dict[str, str] = {
           count(distinct cluster) as total_clusters from clustered""",
     ),
     "traffic_items": f"select * from ({_ITEMS}) where time <> '' or description <> ''",
+    "news_traffic_items": f"select * from ({_NEWS}) where time <> '' or description <> ''",
     "stream_ingest": _with("tickets", f"select {_LANDED_COLUMNS} from tickets"),
 }

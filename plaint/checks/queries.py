@@ -175,6 +175,12 @@ def extract_list_items(spark, sf_dir):
     return found
 
 
+@query
+def news_list_items(spark, sf_dir):
+    """The list of the traffic page by its id, with nested items and items that are not closed."""
+    return pages.extract_list_items(fixtures.news_pages(spark, sf_dir))
+
+
 @query
 def attach_photo_bytes(spark, sf_dir):
     found = embed.attach_photo_bytes(
@@ -907,6 +913,11 @@ def traffic_items(spark, sf_dir):
     )
 
 
+@query
+def news_traffic_items(spark, sf_dir):
+    return reports.traffic_items(fixtures.news_pages(spark, sf_dir))
+
+
 @query
 def stream_ingest(spark, sf_dir):
     """New files through the streaming source, twice: the second run finds nothing new."""

@@ -162,3 +162,27 @@ def clustered_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tickets(spark, sf_dir).join(
         scored.select("doc_id", "cluster", *components), "doc_id", "left"
     )
+
+
+def news_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``page_id, html``: a page per document with the news list, by turns flat, nested, with items
+    that are not closed, and with elements that are not closed."""
+    n = F.col("doc_id")
+    body = F.coalesce("text", F.lit(""))
+    for sign, name in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+        body = F.replace(body, F.lit(sign), F.lit(name))
+    lists = {
+        0: "<li><h4>N{n}</h4><p>{d}</p></li><li><h4> N{n} <i>b</i></h4></li><li><span>x</span></li>",
+        1: "<li><h4>N{n}</h4><ul><li><h4>in</h4><p>{d}</p></li></ul><p>after</p></li><li><p>last</p></li>",
+        2: "<li><h4>N{n}</h4><p>{d}</p><li><h4>next<li><p>end<b> bold</b></ul><li><h4>out</h4></li>",
+        3: "<li><h4>N{n}<br><p>{d}</ul></p>",
+    }
+
+    def page(items: str) -> Column:
+        menu = '<html><ul id="menu"><li><h4>menu</h4></ul><div><UL class=a id="latest_traffic_list">'
+        numbered = F.replace(F.lit(f"{menu}{items}</ul></div></html>"), F.lit("{n}"), _text(n))
+        return F.replace(numbered, F.lit("{d}"), body)
+
+    turn = F.pmod(n, F.lit(4))
+    html = F.coalesce(*[F.when(turn == k, page(items)) for k, items in lists.items()])
+    return table(spark, sf_dir, "documents").select(n.alias("page_id"), html.alias("html"))

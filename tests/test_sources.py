@@ -342,3 +342,50 @@ def test_list_items(spark):
         (4, 0, "", "a"),
     ]
     assert pages.either_field(pages.extract_list_items(frame)).count() == 4
+
+
+def items_of(page, list_id="latest_traffic_list"):
+    found = pages.ListReader(list_id, ("h4", "p")).read(page)
+    return [(i["time"], i["description"]) for i in found]
+
+
+def listed(inside):
+    return f"<ul id=latest_traffic_list>{inside}</ul><ul><li><h4>after</h4></li></ul>"
+
+
+@pytest.mark.parametrize(
+    "inside, expected",
+    [
+        # A nested list: its items count, and the outer item takes its first elements from it.
+        ("<li><ul><li><h4>a</h4><p>b</p></li></ul><h4>c</h4></li>", [("a", "b"), ("a", "b")]),
+        ("<li><h4>c</h4><ol><li><h4>a</h4></ol><p>b</p></li><li>x", [("c", "b"), ("a", ""), ("", "")]),
+        # Items that are not closed hold those after them.
+        ("<li><h4>1</h4><li><p>2</p><li><h4>3</h4>", [("1", "2"), ("3", "2"), ("3", "")]),
+        ("<li><p>1<p>2</p> 3</p><li>", [("", "123"), ("", "")]),
+        # End tags: without a start they are passed over, others close what is open inside.
+        ("</li></p><li></b><h4>a</p></h4></li>", [("a", "")]),
+        ("<li><h4><b>a</h4> b</b></li>", [("a", "")]),
+        # Elements without an inside, closed in their start tag, or in capitals.
+        ("<LI><H4>a<br>b<img src='<li>'></H4><p/>c</LI>", [("ab", "")]),
+        ("<li/><h4>a</h4>", [("", "")]),
+        # Each piece of text is trimmed; comments and tags end one, references do not.
+        ("<li><h4> a <!-- <li> --> b &amp; c&nbsp;<i> d </i></h4></li>", [("ab & cd", "")]),
+        ("<li><p><script>x = '<li>'</script><style>p {}</style>y<template>z</template></p></li>", [("", "y")]),
+        ("<li><p>&#3585;&zz; &lt;li&gt;</p></li>", [("", "ก&zz; <li>")]),
+        ("", []),
+    ],
+)
+def test_items_of_real_markup(inside, expected):
+    assert items_of(listed(inside)) == expected
+
+
+def test_items_of_odd_pages():
+    assert items_of("<ul id='latest_traffic_list'><li><h4>open to the end") == [("open to the end", "")]
+    assert items_of("<ul id=other><li><ul id=latest_traffic_list><li><p>a</ul><li><p>b</p>") == [("", "a")]
+    assert items_of("<ol id=latest_traffic_list><li><p>a</p></ol>") == []
+    assert items_of("<ul id=a><li><p>1</p></ul><ul id=a><li><p>2</p></ul>", "a") == [("", "1")]
+    assert items_of("<li><p>1</p></li><ul><li><p>2</p></ul>", None) == [("", "1"), ("", "2")]
+    assert items_of("<li><p>1</p></li><![unknown[ <li>", None) == [("", "1")]
+    assert items_of("<a <b> </ <!x> <li>< p>&", None) == [("", "")]
+    many = 20_000
+    assert items_of(listed("<li><h4>t</h4>" * many)) == [("t", "")] * many
