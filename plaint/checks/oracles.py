@@ -700,5 +700,6 @@ ORACLES: dict[str, str] = {
     ),
     "traffic_items": f"select * from ({_ITEMS}) where time <> '' or description <> ''",
     "news_traffic_items": f"select * from ({_NEWS}) where time <> '' or description <> ''",
+    "stream_then_vectorize": _with("complete", _cells("ticket_id", "vector", "select * from complete")),
     "stream_ingest": _with("tickets", f"select {_LANDED_COLUMNS} from tickets"),
 }

@@ -918,6 +918,17 @@ def news_traffic_items(spark, sf_dir):
     return reports.traffic_items(fixtures.news_pages(spark, sf_dir))
 
 
+@query
+def stream_then_vectorize(spark, sf_dir):
+    """The daily job takes what a stream landed of that day's export; again, it adds nothing."""
+    streamed, table = scratch_dir(spark, "streamed"), scratch_dir(spark, "vectorized")
+    landed = exports.raw_path(_landed(spark, sf_dir), DAY)
+    incremental_ingest(spark, landed, streamed, scratch_dir(spark, "progress")).awaitTermination()
+    for _ in range(2):
+        jobs.daily_vectorize(spark, streamed, fixtures.photos(spark, sf_dir), table, DAY)
+    return cells(tables.read_vectors(spark, table), "ticket_id")
+
+
 @query
 def stream_ingest(spark, sf_dir):
     """New files through the streaming source, twice: the second run finds nothing new."""

@@ -25,6 +25,8 @@ Factory = Callable[[], Embedder]
 TEXT_WIDTH = 64
 PHOTO_WIDTH = 64
 BATCH = 128  # values per call of an embedder
+# Distinct urls of tickets up to which their hashes are broadcast (8 MB of hashes).
+BROADCAST_URLS = 1_000_000
 
 _RESULT = "struct<vector: array<double>, error: string>"
 
@@ -174,6 +176,21 @@ def attach_photo_bytes(
     return joined.select(*df.columns, F.coalesce("content", empty).alias("content"))
 
 
+def photos_of(tickets: DataFrame, photos: DataFrame, most: int = BROADCAST_URLS) -> DataFrame:
+    """The photos that tickets name.
+
+    Urls are counted first. Up to ``most`` of them, their hashes go to where photos are read, and no
+    photo is shuffled; a photo that shares a hash with another url stays, too. Beyond, photos and urls
+    are joined by url, where Spark may put a Bloom filter of the urls below the shuffle.
+    """
+    urls = tickets.filter(present("photo")).select(F.col("photo").alias("url")).distinct()
+    if urls.limit(most + 1).count() > most:
+        return photos.join(urls, "url", "left_semi").select(*photos.columns)
+    hashes = F.broadcast(urls.select(F.xxhash64("url").alias("_wanted")))
+    named = photos.withColumn("_wanted", F.xxhash64("url"))
+    return named.join(hashes, "_wanted", "left_semi").select(*photos.columns)
+
+
 def vectorize_tickets(
     tickets: DataFrame,
     photos: DataFrame,
@@ -184,13 +201,13 @@ def vectorize_tickets(
 ) -> DataFrame:
     """Add ``vector`` and ``reject_reason``; exactly one of them is NULL in every row.
 
-    Photos are embedded where they are read: give the photos of the tickets, as they were fetched.
-    No photo byte is shuffled, only vectors are, and of a url that is listed several times one
+    Of a photo table, only the photos of these tickets are embedded (``photos_of``), where they are
+    read: no photo byte is shuffled, only vectors are, and of a url that is listed several times one
     vector counts (the smallest, before any failure). Text is embedded only for tickets whose
     photo gave a vector. Rows keep their place: an id that occurs n times gives n rows.
     ``parallelism`` spreads the photos, and the rows right before the text model.
     """
-    usable = photos.filter(present("url") & (F.octet_length("content") > 0))
+    usable = photos_of(tickets, photos.filter(present("url") & (F.octet_length("content") > 0)))
     if parallelism:
         usable = usable.repartition(parallelism)
     seen = embed_image(usable, "content", image_factory, "_image", batch_size)

@@ -13,7 +13,7 @@ from plaint.operators import embed, models
 from plaint.operators.filters import has_value, not_blank_keep_null
 from plaint.operators.topn import cap_rows
 from plaint.operators.transform import transform_tickets
-from plaint.schemas import PHOTO_SCHEMA, TICKET_COLUMNS
+from plaint.schemas import TICKET_COLUMNS
 from plaint.session import scratch_dir
 from plaint.sources import exports, tables
 from plaint.sources.photos import fetch_photos
@@ -41,48 +41,54 @@ class Vectorized:
     rejects: DataFrame | None
 
 
-def _vectorize(todo: DataFrame, photos: DataFrame, table: str, landed: str, **options) -> Vectorized:
+def _staged(rows: DataFrame, purpose: str) -> tuple[DataFrame, str]:
+    """Rows as a table in the shared folder, and where it is."""
+    path = scratch_dir(rows.sparkSession, purpose)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path), path
+
+
+def _vectorize(
+    todo: DataFrame,
+    photos: DataFrame | None,
+    fetcher: Callable[[str], bytes] | None,
+    table: str,
+    landed: str,
+    **options,
+) -> Vectorized:
     """Vectors of ``todo`` into the table, in place of what an earlier run of ``landed`` wrote.
 
-    Tickets that other partitions of the table hold are left out. The results are staged once in
-    the shared folder: accepted and rejected rows are both read from there, and a lost executor
-    does not run the models a second time. Rejects stay there as a table; the staged copy goes.
-    With no vector, a first run writes nothing and a repeated one empties its partition.
+    Tickets that other partitions of the table hold are left out first; only for the others photos
+    are fetched or embedded. What is left to do and the results are staged once in the shared folder:
+    a lost executor does not run the models or the downloads a second time. Rejects stay there as a
+    table; the other staged copies go. With no vector, a first run writes nothing and a repeated one
+    empties its partition.
     """
+    if photos is None and fetcher is None:
+        raise ValueError("give a photo table or a fetcher")
     spark = todo.sparkSession
-    todo = tables.not_in_table(todo, table, landed)
-    staged_at = scratch_dir(spark, "vectors")
-    results = embed.vectorize_tickets(todo, photos, **options)
-    results.write.parquet(staged_at)
-    staged = spark.read.schema(results.schema).parquet(staged_at)
+    todo, todo_at = _staged(tables.not_in_table(todo, table, landed), "todo")
+    done_with = [todo_at]
+    if photos is None:
+        photos, photos_at = _staged(fetch_photos(todo, fetcher), "photos")
+        done_with.append(photos_at)
+    staged, staged_at = _staged(embed.vectorize_tickets(todo, photos, **options), "vectors")
+    done_with.append(staged_at)
     accepted = F.col("reject_reason").isNull()
     counts = staged.agg(
         F.count(F.lit(1)).alias("fetched"), F.count_if(accepted).alias("accepted")
     ).first()
     rejects = None
     if counts.fetched:
-        kept_at = scratch_dir(spark, "rejects")
-        refused = staged.filter(~accepted).drop("vector")
-        refused.write.parquet(kept_at)
-        rejects = spark.read.schema(refused.schema).parquet(kept_at)
+        rejects, _ = _staged(staged.filter(~accepted).drop("vector"), "rejects")
     written = 0
     if counts.accepted or tables.exists(spark, tables.landed_folder(table, landed)):
         written = tables.append_vectors(staged.filter(accepted), table, landed)
-    tables.remove(spark, staged_at)
+    for path in done_with:
+        tables.remove(spark, path)
     return Vectorized(counts.fetched, written, rejects)
 
 
-def _photos(todo: DataFrame, photos: DataFrame | None, fetcher: Callable[[str], bytes] | None) -> DataFrame:
-    """The given photo table, or the photos of these tickets through a callable, staged."""
-    if photos is not None:
-        return photos
-    if fetcher is None:
-        raise ValueError("give a photo table or a fetcher")
-    path = scratch_dir(todo.sparkSession, "photos")
-    fetch_photos(todo, fetcher).write.parquet(path)
-    return todo.sparkSession.read.schema(PHOTO_SCHEMA).parquet(path)
-
-
 def daily_vectorize(
     spark: SparkSession,
     tickets: str,
@@ -98,12 +104,12 @@ def daily_vectorize(
 
     An export holds tickets of two UTC dates; ``by_date`` takes those of the date instead, from
     any export. ``max_rows`` takes only the first rows by time and id; by default all are taken.
-    Without a photo table, ``fetcher`` gets the photos. Further options go to
-    ``vectorize_tickets``.
+    Tickets of the export that came through a stream are among them. Without a photo table,
+    ``fetcher`` gets the photos. Further options go to ``vectorize_tickets``.
     """
     read = tables.read_tickets if by_date else tables.read_landed
     todo = cap_rows(has_value(read(spark, tickets, ds), ["photo", "ticket_id"]), max_rows)
-    return _vectorize(todo, _photos(todo, photos, fetcher), table, ds, **options)
+    return _vectorize(todo, photos, fetcher, table, ds, **options)
 
 
 def backfill_vectors(
@@ -126,7 +132,7 @@ def backfill_vectors(
     # The whole instant, in UTC: backfills from two instants are two runs.
     start = F.date_format(F.lit(since).cast("timestamp"), "yyyyMMdd'T'HHmmss.SSSSSS")
     landed = f"backfill-{spark.range(1).select(start).first()[0]}"
-    return _vectorize(todo, _photos(todo, photos, fetcher), table, landed, **options)
+    return _vectorize(todo, photos, fetcher, table, landed, **options)
 
 
 def refresh_clusters(

@@ -4,12 +4,18 @@ A table has two partition levels: ``landed``, the export or batch that brought t
 ``day``, the UTC date of the ticket. A day's export holds tickets of two UTC dates (its own zone
 is ahead of UTC), so one level could not serve both: ``landed`` is what a repeated run replaces,
 and ``day`` is what a read by date prunes.
+
+Beside them, ``_days/day=<date>/<landed>`` are empty files, made after each append: which exports
+have rows of a date. A read by date lists these and opens only the folders that they name, however
+many exports the table has. Readers of the whole table do not see them.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 import uuid
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +26,11 @@ from plaint.operators.filters import Day, as_date, on_day, since
 from plaint.schemas import TICKET_SCHEMA, VECTOR_SCHEMA
 
 PARTITIONS = ["landed", "day"]
+DAYS = "_days"
+# Spark's name of the folder of rows without a date.
+NO_DAY = "__HIVE_DEFAULT_PARTITION__"
+# Between an export and the batch of a stream that read some of its files.
+STREAMED = ".stream-"
 
 
 def _with_partitions(schema: T.StructType) -> T.StructType:
@@ -33,17 +44,22 @@ def _with_partitions(schema: T.StructType) -> T.StructType:
     )
 
 
-def _append(df: DataFrame, path: str, landed: str, replace: bool) -> int:
-    """Write rows under ``landed`` and return how many, counted during the write.
+def _dated(df: DataFrame, counted: Observation, *also: str) -> DataFrame:
+    """Rows with their day, dealt for writing and counted on the way.
 
     REBALANCE gives files of an even size: small shuffle partitions are merged, and a day that
     holds most of the rows is split over several tasks.
     """
+    rows = df.withColumn("day", typing.day("timestamp")).hint("rebalance", *also, "day")
+    return rows.observe(counted, F.count(F.lit(1)).alias("rows"))
+
+
+def _append(df: DataFrame, path: str, landed: str, replace: bool) -> int:
+    """Write rows under ``landed`` and return how many, counted during the write."""
     counted = Observation()
-    rows = df.withColumn("day", typing.day("timestamp")).hint("rebalance", "day")
-    rows = rows.observe(counted, F.count(F.lit(1)).alias("rows"))
-    writer = rows.write.mode("overwrite" if replace else "append").partitionBy("day")
+    writer = _dated(df, counted).write.mode("overwrite" if replace else "append").partitionBy("day")
     writer.parquet(landed_folder(path, landed))
+    _note_days(df.sparkSession, path, [landed])
     return counted.get["rows"]
 
 
@@ -64,10 +80,66 @@ def remove(spark: SparkSession, path: str) -> bool:
     return system.delete(folder, True)
 
 
+def _names(spark: SparkSession, path: str, pattern: str = "*") -> list[str]:
+    """Names in a folder; none when it is not there. Only this one folder is listed."""
+    folder, system = _folder(spark, path)
+    found = system.globStatus(spark._jvm.org.apache.hadoop.fs.Path(folder, pattern))
+    return sorted(status.getPath().getName() for status in found or [])
+
+
 def landed_folder(path: str, landed: str) -> str:
     return f"{path.rstrip('/')}/landed={landed}"
 
 
+def _note_days(spark: SparkSession, path: str, exports: Iterable[str]) -> None:
+    """Note the dates of which these exports have rows. A note that is there stays as it is."""
+    for landed in exports:
+        for day in _names(spark, landed_folder(path, landed), "day=*"):
+            note, system = _folder(spark, f"{path.rstrip('/')}/{DAYS}/{day}/{landed}")
+            if not system.exists(note):
+                system.create(note, True).close()
+
+
+def _noted_days(spark: SparkSession, path: str) -> list[dt.date | None]:
+    """The dates of which a table has rows, or had them before a run was repeated."""
+    names = [name.removeprefix("day=") for name in _names(spark, f"{path.rstrip('/')}/{DAYS}", "day=*")]
+    return [None if name == NO_DAY else dt.date.fromisoformat(name) for name in names]
+
+
+def read_folders(spark: SparkSession, path: str, folders: list[str], schema: T.StructType) -> DataFrame:
+    """Some folders of a table, with its partition columns; only these are listed."""
+    whole = _with_partitions(schema)
+    if not folders:
+        return spark.createDataFrame([], whole)
+    return spark.read.schema(whole).option("basePath", path).parquet(*folders)
+
+
+def read_days(
+    spark: SparkSession,
+    path: str,
+    days: Iterable[dt.date | None],
+    schema: T.StructType = TICKET_SCHEMA,
+    holds: Callable[[str], bool] = lambda landed: True,
+) -> DataFrame:
+    """Rows of some UTC dates (None: without a date), from the exports that ``holds`` takes.
+
+    The notes name the folders. A table without notes is read as a whole and filtered.
+    """
+    wanted = list(days)
+    if not exists(spark, f"{path.rstrip('/')}/{DAYS}"):
+        table = read_table(spark, path, schema)
+        known = F.col("day").isin([day for day in wanted if day is not None])
+        asked = known | F.col("day").isNull() if None in wanted else known
+        others = [name.removeprefix("landed=") for name in _names(spark, path, "landed=*")]
+        return table.filter(asked & ~F.col("landed").isin([name for name in others if not holds(name)]))
+    folders = []
+    for day in wanted:
+        name = f"day={day.isoformat() if day else NO_DAY}"
+        noted = [landed for landed in _names(spark, f"{path.rstrip('/')}/{DAYS}/{name}") if holds(landed)]
+        folders.extend(f"{landed_folder(path, landed)}/{name}" for landed in noted)
+    return read_folders(spark, path, [folder for folder in folders if exists(spark, folder)], schema)
+
+
 def append_tickets(df: DataFrame, path: str, landed: str, replace: bool = True) -> int:
     """Add tickets to the table; the rows written.
 
@@ -87,41 +159,64 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType = TICKET_SCH
     return spark.read.schema(_with_partitions(schema)).parquet(path)
 
 
+def append_batch(df: DataFrame, path: str, batch: str) -> None:
+    """Add a stream's batch of tickets, each row under the export in its column ``export``.
+
+    A row goes to ``landed=<export>.<batch>``, and a repeated batch replaces just these folders. Rows
+    whose export is not known go to ``landed=<batch>``.
+    """
+    spark = df.sparkSession
+    landed = F.concat_ws(".", "export", F.lit(batch)).alias("landed")
+    rows = _dated(df.select(*TICKET_SCHEMA.fieldNames(), landed), Observation(), "landed")
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*PARTITIONS).parquet(path)
+    names = [*_names(spark, path, f"landed={batch}"), *_names(spark, path, f"landed=*.{batch}")]
+    _note_days(spark, path, [name.removeprefix("landed=") for name in names])
+
+
 def read_tickets(spark: SparkSession, path: str, ds: Day) -> DataFrame:
-    """Tickets of one UTC date, from whichever export: other days' files are listed, not read."""
-    table = read_table(spark, path).filter(F.col("day") == F.lit(as_date(ds)))
+    """Tickets of one UTC date, from whichever export: the folders of other days are not listed."""
+    table = read_days(spark, path, [as_date(ds)]).filter(F.col("day") == F.lit(as_date(ds)))
     return on_day(table, ds).drop(*PARTITIONS)
 
 
 def read_landed(spark: SparkSession, path: str, landed: str) -> DataFrame:
-    """Tickets that one export brought, of any date: only its folder is listed and read."""
-    folder = landed_folder(path, landed)
-    if not exists(spark, folder):
-        return spark.createDataFrame([], TICKET_SCHEMA)
-    schema = T.StructType([*TICKET_SCHEMA.fields, T.StructField("day", T.DateType())])
-    return spark.read.schema(schema).parquet(folder).drop("day")
+    """Tickets that one export brought, of any date, at once or through a stream.
+
+    Only the folder of the export and those of its streamed batches are listed and read."""
+    names = [*_names(spark, path, f"landed={landed}"), *_names(spark, path, f"landed={landed}{STREAMED}*")]
+    folders = [f"{path.rstrip('/')}/{name}" for name in names]
+    return read_folders(spark, path, folders, TICKET_SCHEMA).drop(*PARTITIONS)
 
 
 def not_in_table(todo: DataFrame, path: str, landed: str) -> DataFrame:
     """Rows of ``todo`` that no other export's partition of a vector table holds already.
 
-    A row is known by all its ticket columns. Rows under ``landed`` itself do not count, since
-    this run replaces them. Both sides are narrow hashes in the shuffle; ids repeat as they are.
+    A row is known by all its ticket columns, so rows of other dates cannot hold it: only the dates of
+    ``todo`` are read. Rows under ``landed`` itself do not count, since this run replaces them. Both
+    sides are narrow hashes in the shuffle; ids repeat as they are.
     """
     spark = todo.sparkSession
     if not exists(spark, path):
         return todo
     names = TICKET_SCHEMA.fieldNames()
-    held = read_table(spark, path, VECTOR_SCHEMA).filter(F.col("landed") != landed)
+    # One row per date.
+    days = [row.day for row in todo.select(typing.day("timestamp").alias("day")).distinct().collect()]
+    held = read_days(spark, path, days, VECTOR_SCHEMA, holds=lambda other: other != landed)
     key = F.struct(F.xxhash64(*names).alias("a"), F.hash(*names).alias("b"))
     held = held.select(key.alias("_row")).distinct()
     return todo.withColumn("_row", key).join(held, "_row", "left_anti").drop("_row")
 
 
 def read_tickets_since(spark: SparkSession, path: str, start: str) -> DataFrame:
-    """Tickets from an instant on."""
+    """Tickets from an instant on: earlier days are not listed."""
     first = F.to_date(F.lit(start).cast("timestamp"))
-    return since(read_table(spark, path).filter(F.col("day") >= first), start).drop(*PARTITIONS)
+    if exists(spark, f"{path.rstrip('/')}/{DAYS}"):
+        earliest = spark.range(1).select(first.alias("day")).first().day
+        table = read_days(spark, path, [d for d in _noted_days(spark, path) if d and d >= earliest])
+    else:
+        table = read_table(spark, path)
+    return since(table.filter(F.col("day") >= first), start).drop(*PARTITIONS)
 
 
 def read_vectors(spark: SparkSession, path: str) -> DataFrame:
