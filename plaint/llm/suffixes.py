@@ -36,7 +36,9 @@ SHALLOW = 24
 # another is settled there, so a passage that everyone has is sent once per so many anchors.
 FLUSH_ANCHORS = 400_000
 FLUSH_DOCS = 60_000
-BUCKETS_PER_PARTITION = 2
+# Text bytes per bucket of anchors or documents: what a task holds at once follows this, and the
+# number of packed rows between buckets follows the data and not the number of partitions.
+BUCKET_BYTES = 4 << 20
 
 ANCHORS, MATCHES, REQUESTS, TEXT = 0, 1, 2, 3
 _BLOBS = pa.schema([("kind", pa.int32()), ("bucket", pa.int32()), ("blob", pa.binary())])
@@ -533,7 +535,8 @@ def remove_earlier_bytes(docs: DataFrame, doc_id: str = "doc_id", text: str = "t
     An empty table gives an empty result. Other columns are ignored.
     """
     spark = docs.sparkSession
-    buckets = BUCKETS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    size = docs.selectExpr(f"coalesce(sum(octet_length(`{text}`)), 0) as size").first().size
+    buckets = int(size) // BUCKET_BYTES + 1
     rows = docs.selectExpr(
         f"cast(`{doc_id}` as bigint) as doc_id",
         f"coalesce(cast(`{doc_id}` as bigint), shiftleft(1L, 62) | (xxhash64(`{text}`) & (shiftleft(1L, 62) - 1))) as uid",

@@ -107,3 +107,30 @@ def test_deep_shallow_order():
     strings = [raw[s : s + 50] for s in order]
     assert strings == sorted(strings)
     assert list(new) == [k == 0 or strings[k] != strings[k - 1] for k in range(len(strings))]
+
+
+def test_rows_between_buckets_follow_the_data(spark, docs, monkeypatch):
+    """The same packed rows and results, however many shuffle partitions there are."""
+    draw = random.Random(11)
+    passage = "".join(draw.choice("abcdefgh ") for _ in range(400))
+    texts = ["".join(draw.choice("abcdefgh ") for _ in range(300)) + passage[draw.randrange(100) :] for _ in range(60)]
+    monkeypatch.setattr(suffixes, "BUCKET_BYTES", 4_000)
+    counted, stage = [], suffixes.staged
+
+    def counting(df, purpose):
+        written = stage(df, purpose)
+        if purpose == "zones":
+            counted[-1] = written.count()
+        return written
+
+    monkeypatch.setattr(suffixes, "staged", counting)
+    before, found = spark.conf.get("spark.sql.shuffle.partitions"), []
+    try:
+        for parts in ("8", "211"):
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            counted.append(0)
+            found.append(sorted(map(tuple, suffixes.remove_earlier_bytes(docs(texts)).collect())))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert found[0] == found[1] and any(row[2] for row in found[0])
+    assert counted[0] == counted[1] > 0
