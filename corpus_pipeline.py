@@ -25,13 +25,24 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
-def decided(docs: DataFrame, decisions: DataFrame, *columns: str) -> DataFrame:
-    """Documents with the decisions of an operator beside them, which has one row per document.
-
-    Rows without an id have no decision and are kept as they are. Where an id is repeated, its rows
-    get one decision."""
-    one = decisions.filter("doc_id is not null").dropDuplicates(["doc_id"]).select("doc_id", *columns)
-    return docs.select(*COLUMNS).join(one, "doc_id", "left")
+def with_nodes(docs: DataFrame) -> DataFrame:
+    """Documents with ``_node``, a number for each document: its id where that names one text.
+
+    Rows without an id and ids that stand before several texts are named by id and text, above all
+    ids. So each text has its own decision, and rows that are there twice have one."""
+    rows = docs.select(*COLUMNS)
+    key = F.xxhash64("text")
+    named = F.shiftleft(F.lit(1).cast("bigint"), 62).bitwiseOR(
+        F.xxhash64("doc_id", key).bitwiseAND(F.lit((1 << 62) - 1))
+    )
+    texts = rows.filter("doc_id is not null").groupBy("doc_id").agg(F.min(key).alias("low"), F.max(key).alias("high"))
+    several = texts.filter("low != high").select("doc_id", F.lit(True).alias("_several"))
+    # Usually there is none: then no document is moved for this.
+    if several.isEmpty():
+        return rows.withColumn("_node", F.when(F.col("doc_id").isNull(), named).otherwise(F.col("doc_id")))
+    asked = rows.join(several, "doc_id", "left")
+    own = F.col("doc_id").isNotNull() & F.col("_several").isNull()
+    return asked.select(*COLUMNS, F.when(own, F.col("doc_id")).otherwise(named).alias("_node"))
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,21 +53,26 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one with the smallest id."""
-    judged = decided(docs, neardup.near_duplicates(docs), "kept")
-    kept = judged.filter("kept is null or kept").select(*COLUMNS)
-    # A row that is there twice has one id and is kept twice so far.
-    known = kept.filter("doc_id is not null").withColumn("_copy", F.xxhash64("text"))
-    known = known.dropDuplicates(["doc_id", "_copy"]).drop("_copy")
-    return known.unionByName(kept.filter("doc_id is null"))
+    """One document of each group of near copies: the one with the smallest id.
+
+    Rows without an id are grouped like all others and come after those that have one. A row that is
+    there twice stays once; rows without id and words, which nothing tells apart, all stay."""
+    nodes = with_nodes(docs)
+    judged = neardup.near_duplicates(nodes, doc_id="_node")
+    one = judged.dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("_node"), "kept", "n_shingles")
+    kept = nodes.join(one, "_node").filter("kept")
+    blank = F.col("doc_id").isNull() & (F.col("n_shingles") == 0)
+    known = kept.filter(~blank).dropDuplicates(["_node"])
+    return known.unionByName(kept.filter(blank)).select(*COLUMNS)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages that recur; a text that loses nothing stays as it is."""
     # By id and text, so that no text gets what is left of another one under its id.
-    cut = phrases.remove_repeats(docs, with_text=True).filter("doc_id is not null")
-    cut = cut.select("doc_id", "text_key", "kept_text").dropDuplicates(["doc_id", "text_key"])
-    judged = docs.select(*COLUMNS, F.xxhash64("text").alias("text_key")).join(cut, ["doc_id", "text_key"], "left")
+    cut = phrases.remove_repeats(docs, with_text=True).select("doc_id", "text_key", "kept_text")
+    cut = cut.dropDuplicates(["doc_id", "text_key"]).withColumnsRenamed({"doc_id": "_id", "text_key": "_key"})
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & F.xxhash64("text").eqNullSafe(F.col("_key"))
+    judged = docs.select(*COLUMNS).join(cut, same, "left")
     text = F.coalesce("kept_text", "text")
     lost = F.col("kept_text").isNotNull()
     return judged.select(
@@ -69,10 +85,13 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark passage beyond the contract's share."""
+    """Documents that hold no benchmark passage beyond the contract's share. The text alone decides,
+    so each row is judged by its own, whatever its id."""
     benchmark = pin(spark).read.parquet(f"{sf_dir}/benchmark.parquet")
-    judged = decided(docs, decontaminate.contamination(docs, benchmark), "contaminated")
-    return judged.filter("contaminated is null or not contaminated").select(*COLUMNS)
+    nodes = with_nodes(docs)
+    judged = decontaminate.contamination(nodes, benchmark, doc_id="_node").filter("contaminated")
+    dirty = judged.select(F.col("doc_id").alias("_node")).distinct()
+    return nodes.join(dirty, "_node", "left_anti").select(*COLUMNS)
 
 
 def sequence_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
