@@ -81,6 +81,42 @@ def test_odd_documents(spark, docs, tmp_path):
         assert current.count() >= 0
 
 
+def passage(name, n):
+    return " ".join(f"{name}{i}" for i in range(n))
+
+
+def kept(frame):
+    return sorted(((r.doc_id, r.text) for r in frame.collect()), key=str)
+
+
+def test_near_copies_by_id_and_text(spark, docs):
+    """Two texts under one id are two documents, and so are rows without an id."""
+    a, b, c, d = (passage(n, 80) for n in "abcd")
+    near = f"{a} more"
+    rows = [(1, a), (3, near), (3, b), (4, b), (2, b), (2, a), (None, near), (None, c), (None, c), (5, d), (5, d), (None, None), (None, None), (None, "")]
+    after = corpus_pipeline.minhash_near_dedup(spark, docs(rows).select(*corpus_pipeline.COLUMNS), SF_DIR)
+    # Of b, id 4 names one text; ids 2 and 3 name two each and come after it.
+    expected = [(1, a), (4, b), (None, c), (5, d), (None, None), (None, None), (None, "")]
+    assert kept(after) == sorted(expected, key=str)
+
+
+def test_contaminated_texts_by_id_and_text(spark, docs):
+    item = next(r.text for r in spark.read.parquet(f"{SF_DIR}/benchmark.parquet").collect() if len(r.text.split()) > 20)
+    clean = passage("clean", 40)
+    rows = [(1, item), (2, item), (2, clean), (3, clean), (3, item), (None, item), (None, clean), (None, None), (4, ""), (4, ""), (6, f"{item} {clean}")]
+    after = corpus_pipeline.benchmark_decontamination(spark, docs(rows).select(*corpus_pipeline.COLUMNS), SF_DIR)
+    expected = [(2, clean), (3, clean), (None, clean), (None, None), (4, ""), (4, "")]
+    assert kept(after) == sorted(expected, key=str)
+
+
+def test_repeated_passages_of_rows_without_an_id(spark, docs):
+    shared = passage("s", 60)
+    rows = [(1, f"{passage('a', 9)} {shared}"), (None, f"{shared} {passage('b', 9)}"), (None, passage("c", 50)), (None, None)]
+    after = corpus_pipeline.substring_dedup(spark, docs(rows).select(*corpus_pipeline.COLUMNS), SF_DIR)
+    expected = [(1, passage("a", 9)), (None, passage("b", 9)), (None, passage("c", 50)), (None, None)]
+    assert kept(after) == sorted(expected, key=str)
+
+
 def test_texts_under_one_id_are_cut_each_by_itself(spark, docs):
     def unlike(name, n):
         return " ".join(f"{name}{i}" for i in range(n))
