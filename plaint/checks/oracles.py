@@ -7,6 +7,12 @@ from plaint.functions.color import PALETTE
 
 # Named parts; each lists the parts it needs.
 _RAW = """
+with histories as (
+  select event_id % (select greatest(count(*), 1) from documents) as doc_id,
+    arg_min(ts, event_id) as opened, arg_min(event_type, event_id) as event_type,
+    arg_min(user_id, event_id) as user_id, max(ts) as touched
+  from events group by 1
+)
 select d.doc_id,
   case when d.doc_id % 97 = 13 then '' when d.doc_id % 101 = 7 then null
        else 'T' || lpad(d.doc_id::varchar, 7, '0') end as ticket_id,
@@ -20,11 +26,10 @@ select d.doc_id,
             || (500 + (d.doc_id * 7) % 401)::varchar end as coords,
   'Addr ' || d.doc_id::varchar as address,
   'S' || (d.doc_id % 180)::varchar as subdistrict, 'D' || (d.doc_id % 50)::varchar as district,
-  'Bangkok' as province, e.ts::varchar || '+00' as "timestamp", e.event_type as state,
+  'Bangkok' as province, e.opened::varchar || '+00' as "timestamp", e.event_type as state,
   case when d.doc_id % 6 = 0 then null else (d.doc_id % 6)::varchar end as star,
-  (e.user_id % 3)::varchar as count_reopen, f.ts::varchar || '+00' as last_activity
-from documents d join events e on e.event_id = d.doc_id
-  join events f on f.event_id = d.doc_id + 200
+  (e.user_id % 3)::varchar as count_reopen, e.touched::varchar || '+00' as last_activity
+from documents d left join histories e on e.doc_id = d.doc_id
 """
 
 _CLEAN = r"""regexp_replace(replace(comment, '"', ''), '[\r\n\x{85}\x{2028}\x{2029}]+', ' ', 'g')"""
@@ -347,7 +352,11 @@ ORACLES: dict[str, str] = {
     "clean_text": _with("raw", f"select doc_id, {_CLEAN} as comment from raw"),
     "split_coords": _with("raw", f"select doc_id, {_COORDS} from raw"),
     "transform_tickets": _with("tickets", "select * from tickets"),
-    "rename_columns": _with("tickets", "select doc_id, ticket_id as id, address from tickets"),
+    "rename_columns": _with(
+        "dashboard",
+        f"""select id, comment, address, photo, latitude, longitude, last_activity, cluster, {_SCORED},
+          doc_id from dashboard""",
+    ),
     "clustered_columns": _with(
         "scored", f"select {_TICKET_COLUMNS}, doc_id, cluster, {_SCORED} from scored"
     ),
@@ -657,6 +666,12 @@ ORACLES: dict[str, str] = {
           coalesce(ticket_id <> '', false) as clustered,
           case when ticket_id <> '' then 3 else 0 end as scores from vectors""",
     ),
+    "refresh_clusters_nearest": _with(
+        "vectors",
+        """select address, coalesce(ticket_id <> '', false) as clustered, true as nearest,
+          true as projected from vectors""",
+    ),
+    "map_center_sketch": "select unnest(['latitude', 'longitude']) as name, true as within",
     "cluster_report_bars": _with(
         "clustered palette",
         """select cluster, "count", printf('#%02x%02x%02x', color[1], color[2], color[3]) as bar_color

@@ -247,13 +247,14 @@ def transform_tickets(spark, sf_dir):
 
 @query
 def rename_columns(spark, sf_dir):
-    found = fixtures.tickets(spark, sf_dir).withColumnsRenamed({"ticket_id": "id"})
-    return found.select("doc_id", "id", "address")
+    found = plain(reports.dashboard_columns(fixtures.clustered_components(spark, sf_dir), keep=["doc_id"]))
+    return found.withColumns({name: rounded(name) for name in COMPONENTS})
 
 
 @query
 def clustered_columns(spark, sf_dir):
-    found = plain(fixtures.clustered_components(spark, sf_dir))
+    source = fixtures.clustered_components(spark, sf_dir)
+    found = plain(joins.clustered_columns(source, [*TICKET_COLUMNS, "doc_id"]))
     return found.withColumns({name: rounded(name) for name in COMPONENTS})
 
 
@@ -867,6 +868,42 @@ def refresh_clusters(spark, sf_dir):
     )
 
 
+@query
+def refresh_clusters_nearest(spark, sf_dir):
+    """Of each published row, whether its cluster is the nearest center of the saved model, and its
+    components are the products with the saved axes."""
+    saved = scratch_dir(spark, "models")
+    found = jobs.refresh_clusters(
+        spark, _vector_table(spark, sf_dir), scratch_dir(spark, "published"), "1", model_root=saved
+    )
+    kmeans, pca = models.load_model(f"{saved}/kmeans"), models.load_model(f"{saved}/pca")
+    names, centers = models.centers(kmeans)
+    nearest = vector.nearest(scaled("vector", kmeans), names, centers)
+    mean, axes = pca.stages[0].mean.toArray(), pca.stages[1].pc.toArray().T
+    products = vector.project("vector", axes, mean)
+    gaps = [F.coalesce(F.abs(F.col(name) - F.get(products, i)) < 1e-6, F.lit(True)) for i, name in enumerate(COMPONENTS)]
+    return found.select(
+        "address",
+        F.col("cluster").isNotNull().alias("clustered"),
+        (F.coalesce("cluster", nearest) == nearest).alias("nearest"),
+        (gaps[0] & gaps[1] & gaps[2]).alias("projected"),
+    )
+
+
+@query
+def map_center_sketch(spark, sf_dir):
+    """Whether the sketched center is within its stated rank error (and one row) of the middle."""
+    rows, error = fixtures.tickets(spark, sf_dir), 0.01
+    center = aggregates.map_center(rows, rank_error=error)
+    checked = []
+    for name in center.columns:
+        both = rows.select(F.col(name).alias("value")).filter("value is not null").join(center.select(F.col(name).alias("middle")))
+        total, slack = F.count(F.lit(1)), F.count(F.lit(1)) * error + 1
+        below, upto = F.count_if(F.col("value") < F.col("middle")), F.count_if(F.col("value") <= F.col("middle"))
+        checked.append(both.agg(F.lit(name).alias("name"), ((below <= total / 2 + slack) & (upto >= total / 2 - slack)).alias("within")))
+    return checked[0].union(checked[1])
+
+
 @query
 def cluster_report_bars(spark, sf_dir):
     return reports.cluster_bars(_dashboard(spark, sf_dir))

@@ -146,8 +146,40 @@ def exact_medians(
     return _ranked(counts, "value").agg(*medians)
 
 
-def map_center(df: DataFrame, columns: Sequence[str] = ("latitude", "longitude")) -> DataFrame:
-    """Median latitude and longitude of the rows."""
+def sketch_size(rank_error: float) -> int:
+    """Items of a KLL sketch whose quantiles are off by at most this share of all rows, in 99 of 100
+    sketches: the published fit for one rank is 2.296 / k ** 0.9021."""
+    if not 0 < rank_error < 1:
+        raise ValueError("rank_error is a share of the rows")
+    return int(min(max((2.296 / rank_error) ** (1 / 0.9021) + 1, 8), 65_535))
+
+
+def sketched_medians(df: DataFrame, columns: Sequence[str], rank_error: float = 0.001) -> DataFrame:
+    """One row with a value near the median of each column, in one scan; NULL and NaN do not count.
+
+    The value is one of the column's, and its rank is off the middle by at most ``rank_error`` of the
+    rows, with a probability of 99 %. Sketches of a few kilobytes are merged before and after the
+    shuffle, so any number of rows, ties and infinities cost the same.
+    """
+    size = F.lit(sketch_size(rank_error))
+    sketches = df.agg(
+        *[F.kll_sketch_agg_double(F.nanvl(F.col(name).cast("double"), F.lit(None)), size).alias(name) for name in columns],
+        *[F.count(F.nanvl(F.col(name).cast("double"), F.lit(None))).alias(f"_{name}") for name in columns],
+    )
+    middle = F.lit(0.5)
+    return sketches.select(
+        *[F.when(F.col(f"_{name}") > 0, F.kll_sketch_get_quantile_double(name, middle)).alias(name) for name in columns]
+    )
+
+
+def map_center(
+    df: DataFrame,
+    columns: Sequence[str] = ("latitude", "longitude"),
+    rank_error: float | None = None,
+) -> DataFrame:
+    """Median latitude and longitude of the rows, exact unless a ``rank_error`` is allowed."""
+    if rank_error is not None:
+        return sketched_medians(df, columns, rank_error)
     return exact_medians(df, columns)
 
 

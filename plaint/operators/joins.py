@@ -41,6 +41,11 @@ def join_vectors(todo: DataFrame, vectors: DataFrame, key: str = "ticket_id") ->
     return todo.join(vectors, key, "inner")
 
 
+def clustered_columns(df: DataFrame, own: Sequence[str]) -> DataFrame:
+    """All columns of the vectors, the cluster as text, and the components."""
+    return df.select(*own, F.col("cluster").cast("string").alias("cluster"), *COMPONENTS)
+
+
 def join_clusters_components(
     vectors: DataFrame,
     clusters: DataFrame,
@@ -53,10 +58,10 @@ def join_clusters_components(
     Rows without an id stay, with NULLs. An id present n times in all three gives n^3 rows;
     ``models.predict`` adds the same columns in place, with no join and no repeated rows.
     """
-    clusters = id_present(clusters, key).select(key, F.col("cluster").cast("string"))
+    clusters = id_present(clusters, key).select(key, "cluster")
     components = id_present(components, key).select(key, *COMPONENTS)
     joined = left_join(vectors, [clusters, components], key, spread_by)
-    return joined.select(*vectors.columns, "cluster", *COMPONENTS)
+    return clustered_columns(joined, vectors.columns)
 
 
 def assign_clusters(

@@ -26,12 +26,16 @@ SHOWN_COMMENTS = 3
 IDENTITY = ("id", "last_activity", "address")
 
 
+def dashboard_columns(clustered: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """The 11 columns of the reports under their names there."""
+    return clustered.withColumnsRenamed({"ticket_id": "id"}).select(*DASHBOARD_COLUMNS, *keep)
+
+
 def dashboard_scan(
     clustered: DataFrame, n: int = DASHBOARD_ROWS, direct: int = topn.DIRECT
 ) -> DataFrame:
     """The 11 columns of the reports for the newest rows; vectors are not read."""
-    columns = clustered.withColumnsRenamed({"ticket_id": "id"}).select(*DASHBOARD_COLUMNS)
-    return topn.newest(columns, n, ties=("id",), direct=direct)
+    return topn.newest(dashboard_columns(clustered), n, ties=("id",), direct=direct)
 
 
 def load_dashboard(clustered: DataFrame, n: int = DASHBOARD_ROWS) -> DataFrame:
@@ -145,11 +149,14 @@ def map_report(
     clusters: Sequence[int],
     n: int = MAP_POINTS,
     identity: Sequence[str] = IDENTITY,
+    rank_error: float | None = None,
 ) -> MapReport:
-    """All parts of the map page. ``dashboard`` comes from ``load_dashboard``."""
+    """All parts of the map page. ``dashboard`` comes from ``load_dashboard``.
+
+    ``rank_error`` allows a sketched center, for dashboards of very many rows."""
     return MapReport(
         map_points(dashboard, clusters, n, identity),
-        aggregates.map_center(filter_clusters(dashboard, clusters)),
+        aggregates.map_center(filter_clusters(dashboard, clusters), rank_error=rank_error),
         aggregates.map_counts(dashboard, clusters, n),
     )
 
