@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from plaint.functions import color, text
+from plaint.functions.sampling import sketch_size
 from plaint.operators.filters import selected
 from plaint.operators.topn import sample_per_group
 
@@ -146,14 +147,6 @@ def exact_medians(
     return _ranked(counts, "value").agg(*medians)
 
 
-def sketch_size(rank_error: float) -> int:
-    """Items of a KLL sketch whose quantiles are off by at most this share of all rows, in 99 of 100
-    sketches: the published fit for one rank is 2.296 / k ** 0.9021."""
-    if not 0 < rank_error < 1:
-        raise ValueError("rank_error is a share of the rows")
-    return int(min(max((2.296 / rank_error) ** (1 / 0.9021) + 1, 8), 65_535))
-
-
 def sketched_medians(df: DataFrame, columns: Sequence[str], rank_error: float = 0.001) -> DataFrame:
     """One row with a value near the median of each column, in one scan; NULL and NaN do not count.
 

@@ -180,3 +180,60 @@ def test_newest_reaches_the_scan(spark, frame, tmp_path):
     frame.filter(F.col("last_activity").isNotNull()).write.parquet(str(tmp_path / "t"))
     found = topn.newest(spark.read.parquet(str(tmp_path / "t")), 50, ties=("n",), direct=0)
     assert "GreaterThanOrEqual(last_activity" in found._jdf.queryExecution().toString()
+
+
+@pytest.mark.parametrize("ties", ["one instant", "two instants", "a third at once", "no time"])
+def test_a_rank_bound_gives_the_same_rows(spark, ties, monkeypatch):
+    """Bulk changes within one hour: the bound and one count, whatever the ties."""
+    moment = {
+        "one instant": "timestamp_micros(1704067200000000)",
+        "two instants": "timestamp_micros(1704067200000000 + id % 2)",
+        "a third at once": "timestamp_micros(1704067200000000 + if(id % 3 = 0, 5000, id))",
+        "no time": "cast(null as timestamp)",
+    }[ties]
+    frame = spark.range(12_000).selectExpr(f"{moment} as last_activity", "cast(id as string) as ticket_id")
+    frame = frame.withColumn("timestamp", F.col("last_activity"))
+    calls, plain = [], topn._boundary
+
+    def counted(df, bucket, n):
+        calls.append(n)
+        return plain(df, bucket, n)
+
+    monkeypatch.setattr(topn, "_boundary", counted)
+    few = [r.ticket_id for r in topn.newest(frame, 300, direct=0).collect()]
+    assert len(calls) == 2
+    assert few == [r.ticket_id for r in topn.newest(frame, 300, direct=10_000).collect()]
+    capped = [r.ticket_id for r in topn.cap_rows(frame, 300, direct=0).collect()]
+    assert capped == [r.ticket_id for r in topn.cap_rows(frame, 300, direct=10_000).collect()]
+
+
+def test_a_sketch_that_misses_is_made_again(spark, monkeypatch):
+    monkeypatch.setattr(topn, "RANK_ERROR", 0.0005)
+    frame = spark.range(20_000).selectExpr("timestamp_micros(1704067200000000 + id) as last_activity", "cast(id as string) as ticket_id")
+    monkeypatch.setattr(topn, "sketch_size", lambda error: 8)
+    found = [r.ticket_id for r in topn.newest(frame, 40, direct=0).collect()]
+    assert found == [str(i) for i in range(19_999, 19_959, -1)]
+
+
+@pytest.mark.parametrize("error", [0.05, 0.005])
+def test_sketched_medians_are_within_their_rank_error(spark, error):
+    draw = random.Random(4)
+    skewed = [draw.lognormvariate(0, 6) for _ in range(20_000)]
+    infinite = [float("inf")] * 300 + [float("-inf")] * 300 + [draw.random() for _ in range(9_400)]
+    hot = [13.7] * 6_000 + [draw.gauss(0, 1e9) for _ in range(4_000)]
+    for values in (skewed, infinite, hot):
+        frame = spark.createDataFrame([(v,) for v in values], "x double").repartition(7)
+        found = aggregates.sketched_medians(frame, ["x"], error).first().x
+        below, upto = sum(v < found for v in values), sum(v <= found for v in values)
+        slack = error * len(values) + 1
+        assert found in values and below - slack <= len(values) / 2 <= upto + slack
+
+
+def test_sketched_medians_of_little(spark):
+    frame = spark.createDataFrame([(None, 1.0, 2), (float("nan"), 3.0, 2)], "a double, b double, c int")
+    row = aggregates.sketched_medians(frame, ["a", "b", "c"]).first()
+    assert row.a is None and row.b in (1.0, 3.0) and row.c == 2.0
+    assert aggregates.map_center(frame.selectExpr("b as latitude", "b as longitude"), rank_error=0.1).count() == 1
+    assert aggregates.sketched_medians(frame.limit(0), ["b"]).first().b is None
+    with pytest.raises(ValueError, match="share"):
+        aggregates.sketched_medians(frame, ["b"], 0)
