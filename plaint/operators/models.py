@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import PCA, StandardScaler
+from pyspark.ml.feature import PCA, StandardScaler, StandardScalerModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,6 +24,17 @@ def _features(df: DataFrame, vector: str) -> DataFrame:
     return rows.select(array_to_vector(vector).alias("features"))
 
 
+def fit_scaler(df: DataFrame, vector: str = "vector") -> StandardScalerModel:
+    """Mean and deviation of every dimension, in one pass, for both models."""
+    scaler = StandardScaler(inputCol="features", outputCol="scaled", withMean=True, withStd=True)
+    return scaler.fit(_features(df, vector))
+
+
+def _scaling(fitted: StandardScalerModel, output: str, mean: bool, std: bool) -> StandardScalerModel:
+    """The same statistics under another output, used as asked."""
+    return fitted.copy({fitted.outputCol: output, fitted.withMean: mean, fitted.withStd: std})
+
+
 def fit_kmeans(
     df: DataFrame,
     k: int = CLUSTERS,
@@ -31,11 +42,12 @@ def fit_kmeans(
     vector: str = "vector",
     seed: int = SEED,
     max_iter: int = 20,
+    scaler: StandardScalerModel | None = None,
 ) -> PipelineModel:
-    """K-Means on standardised vectors. Vectors of unequal width fail the scaler's own pass."""
-    scaler = StandardScaler(
-        inputCol="features", outputCol="scaled", withMean=standardize, withStd=standardize
-    )
+    """K-Means on standardised vectors. Vectors of unequal width fail the scaler's own pass.
+
+    ``scaler`` is one that ``fit_scaler`` fitted on the same rows."""
+    scaler = _scaling(scaler or fit_scaler(df, vector), "scaled", standardize, standardize)
     kmeans = KMeans(
         featuresCol="scaled", predictionCol="prediction", k=k, seed=seed, maxIter=max_iter
     )
@@ -43,7 +55,11 @@ def fit_kmeans(
 
 
 def fit_pca(
-    df: DataFrame, n: int = len(COMPONENTS), scale: bool = False, vector: str = "vector"
+    df: DataFrame,
+    n: int = len(COMPONENTS),
+    scale: bool = False,
+    vector: str = "vector",
+    scaler: StandardScalerModel | None = None,
 ) -> PipelineModel:
     """Principal components of centered, unscaled vectors.
 
@@ -51,7 +67,7 @@ def fit_pca(
     does not grow with the rows. Spark's PCA does not subtract the mean when it projects, so the
     scaler does.
     """
-    scaler = StandardScaler(inputCol="features", outputCol="centered", withMean=True, withStd=scale)
+    scaler = _scaling(scaler or fit_scaler(df, vector), "centered", True, scale)
     pca = PCA(inputCol="centered", outputCol="scores", k=n)
     return Pipeline(stages=[scaler, pca]).fit(_features(df, vector))
 

@@ -152,8 +152,9 @@ def refresh_clusters(
     # Each fit passes over its input several times: ids and vectors are read and decoded once.
     narrow = rows.select("ticket_id", "vector").persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        kmeans = models.fit_kmeans(narrow, k)
-        pca = models.fit_pca(narrow)
+        scaler = models.fit_scaler(narrow)
+        kmeans = models.fit_kmeans(narrow, k, scaler=scaler)
+        pca = models.fit_pca(narrow, scaler=scaler)
     finally:
         narrow.unpersist()
     if model_root:

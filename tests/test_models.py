@@ -109,3 +109,19 @@ def test_unequal_widths_fail(spark):
     frame = spark.createDataFrame([("a", [1.0]), ("b", [1.0, 2.0])], "ticket_id string, vector array<double>")
     with pytest.raises(Exception):
         models.fit_kmeans(frame, k=1)
+
+
+def test_one_scaler_serves_both_models(spark):
+    """Fitted once or by each model, the results are the same, and so are the saved models' inputs."""
+    draw = np.random.default_rng(8)
+    rows = [(f"t{i}", (draw.normal(size=5) * [1, 2, 3, 4, 5] + 7).tolist()) for i in range(300)]
+    frame = spark.createDataFrame(rows, "ticket_id string, vector array<double>")
+    scaler = models.fit_scaler(frame)
+    shared = models.fit_kmeans(frame, 3, scaler=scaler), models.fit_pca(frame, scaler=scaler)
+    alone = models.fit_kmeans(frame, 3), models.fit_pca(frame)
+    assert np.allclose(models.centers(shared[0])[1], models.centers(alone[0])[1])
+    assert np.allclose(shared[1].stages[1].pc.toArray(), alone[1].stages[1].pc.toArray())
+    assert [m.stages[0].getWithStd() for m in shared] == [True, False]
+    assert np.allclose(shared[1].stages[0].mean.toArray(), np.array([v for _, v in rows]).mean(0))
+    done = models.predict(frame, *shared).collect()
+    assert len(done) == 300 and all(r.cluster and r.PC1 is not None for r in done)
