@@ -87,15 +87,6 @@ def _vector_table(spark: SparkSession, sf_dir: str) -> str:
     )
 
 
-def _backfilled(spark: SparkSession, sf_dir: str) -> str:
-    def write(path: str) -> None:
-        jobs.backfill_vectors(
-            spark, _ticket_table(spark, sf_dir), fixtures.photos(spark, sf_dir), path, "2024-01-01"
-        )
-
-    return fixtures.written_once(spark, sf_dir, "backfill", write)
-
-
 _DASHBOARDS: dict[tuple[str, str], DataFrame] = {}
 
 
@@ -850,7 +841,12 @@ def stream_two_sources(spark, sf_dir):
 
 @query
 def backfill_vectors(spark, sf_dir):
-    return cells(tables.read_vectors(spark, _backfilled(spark, sf_dir)), "ticket_id")
+    """The whole job, into a table of its own."""
+
+    def backfill(t, p, v):
+        jobs.backfill_vectors(spark, t, p, v, "2024-01-01")
+
+    return _vectorized(spark, sf_dir, backfill)
 
 
 @query
