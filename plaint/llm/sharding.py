@@ -19,10 +19,40 @@ SHARDS = 8
 ROW_BITS = 33
 
 
-def quantised(value: Column, bits: int = BITS) -> Column:
-    """A category as a cell number: equal values share a cell, NULL has cell 0."""
-    cells = F.lit((1 << bits) - 1)
-    return F.when(value.isNull(), 0).otherwise(F.pmod(F.xxhash64(value), cells) + 1).cast("bigint")
+def _number(value: Column, skip: int) -> Column:
+    """The bytes of a text after the first `skip` as a number that sorts alike, as far as 7 bytes go."""
+    digits = F.rpad(F.hex(F.substring(F.encode(value.cast("string"), "UTF-8"), skip + 1, 7)), 14, "0")
+    return F.conv(digits, 16, 10).cast("bigint")
+
+
+def category_bounds(rows: DataFrame, names: tuple[str, ...], bits: int = BITS) -> dict[str, tuple[int, list[int]]]:
+    """Per category, the bytes that all values begin with, and the bounds of its cells: quantiles of
+    the values, so that cells hold like shares of the rows and cover ranges of names.
+
+    Two scans of these columns alone. The driver sees one row, whatever the number of values.
+    """
+    text = {name: F.col(name).cast("string") for name in names}
+    ends = rows.agg(*[f(c).alias(f"{n}_{k}") for n, c in text.items() for k, f in (("low", F.min), ("high", F.max))]).first()
+    skip = {}
+    for name in names:
+        low, high = ((ends[f"{name}_{k}"] or "").encode() for k in ("low", "high"))
+        skip[name] = next((i for i, (x, y) in enumerate(zip(low, high)) if x != y), min(len(low), len(high)))
+    inner = (1 << bits) - 2
+    ranks = F.array(*[F.lit((i + 1) / (inner + 1)) for i in range(inner)])
+    quantiles = [
+        F.when(F.count(name) > 0, F.kll_sketch_get_quantile_bigint(F.kll_sketch_agg_bigint(_number(c, skip[name])), ranks)).alias(name)
+        for name, c in text.items()
+    ]
+    found = rows.agg(*quantiles).first() if names else {}
+    return {name: (skip[name], list(found[name] or [])) for name in names}
+
+
+def quantised(value: Column, skip: int, bounds: list[int]) -> Column:
+    """A category as a cell number: equal values share a cell, cells follow the order of the values,
+    and NULL has cell 0."""
+    number = _number(value, skip)
+    passed = F.size(F.filter(F.array(*map(F.lit, bounds)).cast("array<bigint>"), lambda b: b <= number))
+    return F.when(value.isNull(), 0).otherwise(passed + 1).cast("bigint")
 
 
 def magnitude(value: Column, bits: int = BITS) -> Column:
@@ -101,6 +131,7 @@ def hilbert_shards(
     doc_id: str = "doc_id",
     text: str = "text",
     categories: tuple[str, ...] = ("source", "lang"),
+    keep: bool = False,
 ) -> DataFrame:
     """One row per input row: its place on the curve, its shard and its slot there.
 
@@ -108,20 +139,24 @@ def hilbert_shards(
     one apart (law ``rows``). Rows of one cell are ordered by text checksum and id, so equal texts
     with equal metadata are neighbours, and a cell with a third of all rows is cut like any other
     stretch. The place of a row is its partition's offset plus its number in the partition: no
-    window over all rows.
+    window over all rows. ``keep`` adds ``input_row``, all
+    its columns.
 
     Null text: no bytes, size 1, checksum of no bytes. Null ids and metadata sort first. Repeated
     rows get slots of their own. An empty table gives an empty result. Other columns are ignored.
     """
     content = F.coalesce(F.col(text), F.lit(""))
     size = (F.octet_length(content) + 1).cast("bigint")
-    cells = [magnitude(size), *[quantised(F.col(c)) for c in categories]]
+    bounds = category_bounds(docs, categories)
+    cells = [magnitude(size), *[quantised(F.col(c), *bounds[c]) for c in categories]]
+    kept = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("input_row")] if keep else []
     rows = docs.select(
         F.col(doc_id).alias("doc_id"),
         size.alias("size"),
         F.crc32(content.cast("binary")).alias("text_crc32"),
         hilbert_index(cells).alias("curve"),
         F.monotonically_increasing_id().alias("seen"),
+        *kept,
     )
     order = ["curve", "text_crc32", "doc_id", "seen"]
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -160,12 +195,21 @@ def hilbert_shards(
         (F.col("rank") - start).cast("bigint").alias("slot"),
         F.lit(None).cast("int").alias("grown_shard"),
         "curve",
+        *["input_row"] * keep,
     )
 
 
-def write_shards(docs: DataFrame, placed: DataFrame, path: str, doc_id: str = "doc_id") -> None:
-    """Write documents as one folder per shard, in curve order, for pruning by file statistics."""
-    place = placed.select(F.col("doc_id").alias("_id"), F.col("shard").alias("_shard"), F.col("slot").alias("_slot"))
-    joined = docs.join(place, F.col(doc_id).eqNullSafe(F.col("_id"))).drop("_id")
-    ordered = joined.repartition("_shard", F.expr("_slot div 100000")).sortWithinPartitions("_shard", "_slot")
-    ordered.withColumnsRenamed({"_shard": "shard"}).drop("_slot").write.partitionBy("shard").parquet(path)
+def write_shards(docs: DataFrame, path: str, **options) -> None:
+    """Write documents as one folder per shard, in curve order, for pruning by file statistics.
+
+    Rows are written from where they were ranked, so repeated rows and ids stay as they are. The
+    folders' column is ``shard``, with underscores before it where documents have one themselves.
+    """
+    placed = hilbert_shards(docs, keep=True, **options)
+    folder = "shard"
+    while folder in {name.lower() for name in docs.columns}:
+        folder = f"_{folder}"
+    runs = placed.select(F.col("shard").alias("_at"), "slot", F.expr("slot div 100000").alias("_run"), "input_row")
+    ordered = runs.repartition("_at", "_run").sortWithinPartitions("_at", "slot")
+    # A column of the documents may have any name: they are taken out of the row at the end.
+    ordered.select(F.col("_at").alias(folder), "input_row.*").write.partitionBy(folder).parquet(path)

@@ -59,7 +59,43 @@ def test_written_shards(docs, tmp_path):
     rows = [(i, "t" * i) for i in range(40)]
     frame = docs(rows).select("doc_id", "text", "lang", "source", "n_chars")
     path = str(tmp_path / "shards")
-    sharding.write_shards(frame, sharding.hilbert_shards(frame), path)
+    sharding.write_shards(frame, path)
     read = frame.sparkSession.read.parquet(path)
     assert sorted((r.doc_id, r.text) for r in read.collect()) == rows
     assert {r["count"] for r in read.groupBy("shard").count().collect()} == {5}
+
+
+def test_written_rows_are_the_rows(docs, tmp_path):
+    """Repeated ids and rows, rows without an id, and columns that clash, some by name alone."""
+    rows = [(5, "a")] * 3 + [(5, "b"), (None, "c"), (None, "c"), (None, None), (6, "d")]
+    for frame in (docs(rows), docs(rows).drop("shard").withColumnRenamed("kind", "_at")):
+        path = str(tmp_path / f"shards-{'shard' in frame.columns}")
+        sharding.write_shards(frame, path)
+        read = frame.sparkSession.read.parquet(path)
+        assert {"_shard" if "shard" in frame.columns else "shard"} == set(read.columns) - set(frame.columns)
+        assert sorted(map(str, read.select(*frame.columns).collect())) == sorted(map(str, frame.collect()))
+
+
+def test_cells_follow_the_order_of_names(spark):
+    names = [None, "", *(f"src{i:02d}" for i in range(40)), *["src07"] * 30, "src", "srcé", "é"]
+    frame = spark.createDataFrame([(n,) for n in names], "x string")
+    (skip, bounds), = sharding.category_bounds(frame, ("x",)).values()
+    cells = {r.x: r.c for r in frame.select("x", sharding.quantised(F.col("x"), skip, bounds).alias("c")).collect()}
+    assert cells.pop(None) == 0 and min(cells.values()) >= 1 and max(cells.values()) <= 31
+    ordered = [cells[n] for n in sorted(cells, key=lambda n: n.encode())]
+    assert ordered == sorted(ordered) and len(set(ordered)) > 10
+    same = spark.createDataFrame([("a",), ("a",), (None,)], "x string")
+    (skip, bounds), = sharding.category_bounds(same, ("x",)).values()
+    assert same.select(sharding.quantised(F.col("x"), skip, bounds)).distinct().count() == 2
+    assert sharding.category_bounds(same.limit(0), ("x",)) == {"x": (0, [])}
+
+
+def test_files_are_pruned_by_source_and_size(spark, tmp_path):
+    """The least and greatest source of a file leave out most files for a source, by hash none."""
+    rows = [(i, "x" * (1 + (i * 37) % 4000), "en", f"src{i % 32:02d}", 0) for i in range(3_200)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    path = str(tmp_path / "shards")
+    sharding.write_shards(frame, path)
+    spans = spark.read.parquet(path).groupBy("shard").agg(F.min("source").alias("low"), F.max("source").alias("high")).collect()
+    opened = [sum(s.low <= f"src{i:02d}" <= s.high for s in spans) for i in range(32)]
+    assert len(spans) == 8 and sum(opened) / 32 < 5
