@@ -22,7 +22,11 @@ VERSION = b"WARC/1.1"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "2024-01-01T00:00:00Z"
 
-RECORDS_PER_FILE = 2_000
+RECORDS_PER_FILE = 1_000
+# Pages below 256 KB go so many to a file. Longer ones, below so many bytes: a file is of at most
+# 256 MB before compression, or one page.
+LONGER = ((1 << 22, 64), (1 << 26, 4), (1 << 62, 1))
+SHORT_PAGE = 1 << 18
 READ_BYTES = 1 << 16
 # The last byte of a gzip member is the top byte of its content length: zero below 16 MiB. Spark's
 # text writer puts a separator after each value, so that byte is left to it.
@@ -107,6 +111,9 @@ def write_archives(pages: DataFrame, path: str, page_id: str = "page_id", url: s
 
     Null html is an empty payload. A page without an id is a response when no page with an id has
     its payload. Rows with the same smallest id are all responses. Other columns are ignored.
+
+    The reader holds a file at a time, so files are closed by bytes: pages of like sizes are written
+    together, fewer of the longer ones to a file. An empty table gives an empty folder.
     """
     spark = pages.sparkSession
     rows = pages.select(
@@ -119,9 +126,18 @@ def write_archives(pages: DataFrame, path: str, page_id: str = "page_id", url: s
     firsts = rows.groupBy("digest").agg(F.min("page_id").alias("first"))
     joined = rows.join(firsts, "digest").select("page_id", "url", "html", "first")
     small_batches(spark)
-    members = joined.mapInArrow(_members, "member binary")
-    writer = members.select(F.col("member").cast("string").alias("value")).write
-    writer.option("lineSep", SEPARATOR).option("maxRecordsPerFile", RECORDS_PER_FILE).text(path)
+    size = F.coalesce(F.octet_length("html"), F.lit(0)) + 3 * F.coalesce(F.octet_length("url"), F.lit(0))
+    kinds, low = [], 0
+    for most, records in ((SHORT_PAGE, RECORDS_PER_FILE), *LONGER):
+        kinds.append(((size >= low) & (size < most), records))
+        low = most
+    found = rows.agg(*[F.count_if(inside).alias(str(k)) for k, (inside, _) in enumerate(kinds)]).first()
+    for k, (inside, records) in enumerate(kinds):
+        # The first write makes the folder, also for no page at all.
+        if found[k] or k == 0:
+            members = joined.filter(inside).mapInArrow(_members, "member binary")
+            writer = members.select(F.col("member").cast("string").alias("value")).write.mode("append" if k else "error")
+            writer.option("lineSep", SEPARATOR).option("maxRecordsPerFile", records).text(path)
 
 
 def decompressed(content: bytes) -> Iterator[bytes]:

@@ -66,6 +66,23 @@ def test_very_long_record(pages):
     assert found(warc.archived(pages(rows))) == expected(rows)
 
 
+def test_files_are_closed_by_bytes(pages, tmp_path, monkeypatch):
+    """Many long pages in one task: no file holds more than the bound, or one page."""
+    monkeypatch.setattr(warc, "SHORT_PAGE", 100)
+    monkeypatch.setattr(warc, "RECORDS_PER_FILE", 10)
+    monkeypatch.setattr(warc, "LONGER", ((1_000, 3), (1 << 62, 1)))
+    rows = [(i, "u", f"{i} " + "x" * (i % 3) * 600 + "y" * (i % 7)) for i in range(90)]
+    path = str(tmp_path / "archives")
+    warc.write_archives(pages(rows).coalesce(1), path)
+    sizes = []
+    for file in Path(path).glob("part-*"):
+        kept = [len(warc.page_row(*warc.parse(m))["payload"]) for m in warc.decompressed(file.read_bytes())]
+        sizes.append(kept)
+        assert len(kept) == 1 or sum(kept) <= 3_000
+    assert sum(map(len, sizes)) == 90 and max(map(len, sizes)) > 3
+    assert found(warc.read_archives(pages(rows).sparkSession, path)) == expected(rows)
+
+
 def test_empty_table(pages):
     assert found(warc.archived(pages(ROWS).limit(0))) == []
 
