@@ -11,8 +11,8 @@ from pyspark.sql import SparkSession
 from plaint.plans import jobs, reports
 from plaint.schemas import PHOTO_SCHEMA
 from plaint.session import configure, pin
-from plaint.sources import tables
-from plaint.streaming.ingest import incremental_ingest
+from plaint.sources import pages, tables
+from plaint.streaming.ingest import EXPORT_DAY, incremental_ingest
 
 
 def named(reference: str | None) -> Callable | None:
@@ -40,6 +40,7 @@ def parser() -> argparse.ArgumentParser:
     stream.add_argument("--table", required=True)
     stream.add_argument("--checkpoint", required=True)
     stream.add_argument("--files-per-batch", type=int)
+    stream.add_argument("--export-pattern", default=EXPORT_DAY, help="where a file's path names its export")
 
     vectorize = add("vectorize", help="vectors of one day's tickets")
     backfill = add("backfill", help="vectors of all tickets from an instant on")
@@ -69,17 +70,21 @@ def parser() -> argparse.ArgumentParser:
     reported.add_argument("--version", help="the last one by default")
     reported.add_argument("--clusters", type=int, nargs="*", default=[])
     reported.add_argument("--summarizer", help="module:name that maps a prompt to a text")
+    reported.add_argument("--rank-error", type=float, help="sketch the center, off by this share of the rows")
+    news = add("news", help="traffic news of saved pages")
+    news.add_argument("--pages", required=True, help="HTML files")
+    news.add_argument("--out", required=True, help="a new folder")
     return top
 
 
 def report(spark: SparkSession, given: argparse.Namespace) -> str:
     """Write each part of the cluster page and of the map page as a Parquet table."""
     dashboard = reports.load_dashboard(tables.read_clustered(spark, given.published, given.version))
-    pages = {
+    parts_of = {
         "cluster": reports.cluster_report(dashboard, named(given.summarizer)),
-        "map": reports.map_report(dashboard, given.clusters),
+        "map": reports.map_report(dashboard, given.clusters, rank_error=given.rank_error),
     }
-    for page, parts in pages.items():
+    for page, parts in parts_of.items():
         for name, part in vars(parts).items():
             part.write.parquet(f"{given.out.rstrip('/')}/{page}_{name}")
     dashboard.unpersist()
@@ -97,7 +102,7 @@ def run(spark: SparkSession, arguments: Sequence[str] | None = None) -> str:
         return f"written to {jobs.daily_export(spark, given.root, given.ds)}"
     if given.job == "stream":
         query = incremental_ingest(
-            spark, given.landing, given.table, given.checkpoint, given.files_per_batch
+            spark, given.landing, given.table, given.checkpoint, given.files_per_batch, given.export_pattern
         )
         query.awaitTermination()
         return "all landed files processed"
@@ -113,6 +118,10 @@ def run(spark: SparkSession, arguments: Sequence[str] | None = None) -> str:
         return f"version {given.version} published"
     if given.job == "report":
         return report(spark, given)
+    if given.job == "news":
+        saved = pages.read_pages(spark, given.pages)
+        reports.traffic_items(saved, key="page").write.parquet(given.out)
+        return f"news written to {given.out}"
     photos = spark.read.schema(PHOTO_SCHEMA).parquet(given.photos) if given.photos else None
     options = {
         "fetcher": named(given.fetcher),

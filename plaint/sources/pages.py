@@ -6,7 +6,7 @@ from collections import Counter
 from html.parser import HTMLParser
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plaint.functions.columns import column
@@ -27,6 +27,18 @@ SILENT_TAGS = frozenset("rp rt script style template".split())
 _ITEMS = "array<struct<time: string, description: string>>"
 
 
+def read_pages(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Saved pages as ``page, html``: the file's path and its content as UTF-8. Bytes that are no
+    UTF-8 become replacement characters."""
+    files = spark.read.format("binaryFile").load(path)
+
+    @F.arrow_udf("string")
+    def text(contents: pa.Array) -> pa.Array:
+        return pa.array([c.decode("utf-8", "replace") for c in contents.to_pylist()], pa.string())
+
+    return files.select(F.col("path").alias("page"), text("content").alias("html"))
+
+
 class _Item:
     """A list item that is being read: the texts of its first time and description elements."""
 

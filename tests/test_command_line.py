@@ -33,6 +33,22 @@ def test_all_jobs(spark, root, tmp_path):  # noqa: F811
     assert spark.read.parquet(f"{out}/cluster_scatter").count() == 2
     assert spark.read.parquet(f"{out}/map_points").count() == 2
 
+    again = ["--published", paths["published"], "--out", f"{out}-2", "--rank-error", "0.01"]
+    assert run(spark, ["report", *again]) == f"reports written to {out}-2"
+    assert spark.read.parquet(f"{out}-2/map_center").count() == 1
+    assert run(spark, ["vectorize", *vectors, "--ds", "2024-01-09"]) == "0 tickets taken, 0 vectors written"
+
+
+def test_news_of_saved_pages(spark, tmp_path):
+    page = "<ul id=latest_traffic_list><li><h4>10:05<p>ถนน é<li><span>x</span><li><p>b</ul>"
+    (tmp_path / "one.html").write_text(page, encoding="utf-8")
+    (tmp_path / "two.html").write_bytes(page.encode() + b"\xff")
+    out = str(tmp_path / "news")
+    assert run(spark, ["news", "--pages", f"{tmp_path}/*.html", "--out", out]) == f"news written to {out}"
+    found = sorted((r.page.rsplit("/", 1)[1], r.position, r.time, r.description) for r in spark.read.parquet(out).collect())
+    first = [(0, "10:05ถนน éxb", "ถนน éxb"), (1, "", "b"), (2, "", "b")]
+    assert found == [(name, *row) for name in ("one.html", "two.html") for row in first]
+
 
 def words():
     return embed.trigram_embedder(16)()
