@@ -29,6 +29,8 @@ PARTITIONS = ["landed", "day"]
 DAYS = "_days"
 # Spark's name of the folder of rows without a date.
 NO_DAY = "__HIVE_DEFAULT_PARTITION__"
+# Beyond so many dates, all folders are listed by Spark, in parallel, and not those of the notes one by one.
+MANY_DAYS = 100
 # Between an export and the batch of a stream that read some of its files.
 STREAMED = ".stream-"
 
@@ -123,10 +125,11 @@ def read_days(
 ) -> DataFrame:
     """Rows of some UTC dates (None: without a date), from the exports that ``holds`` takes.
 
-    The notes name the folders. A table without notes is read as a whole and filtered.
+    The notes name the folders. For very many dates, and without notes, the whole table is listed and
+    its partitions are filtered.
     """
     wanted = list(days)
-    if not exists(spark, f"{path.rstrip('/')}/{DAYS}"):
+    if len(wanted) > MANY_DAYS or not exists(spark, f"{path.rstrip('/')}/{DAYS}"):
         table = read_table(spark, path, schema)
         known = F.col("day").isin([day for day in wanted if day is not None])
         asked = known | F.col("day").isNull() if None in wanted else known

@@ -126,6 +126,18 @@ def test_a_repeated_run_that_has_no_row_of_a_day_any_more(spark, tmp_path):
     assert [r.ticket_id for r in tables.read_tickets_since(spark, table, "2024-01-01").collect()] == ["c"]
 
 
+def test_very_many_dates(spark, tmp_path, monkeypatch):
+    table = str(tmp_path / "tickets")
+    for landed in ("one", "two"):
+        tables.append_tickets(tickets(spark, [("a", "2024-01-01", "u"), ("b", "2024-01-02", "u"), ("c", None, "u")]), table, landed)
+    asked = [dt.date(2024, 1, 2), None]
+    few = sorted(r.ticket_id for r in tables.read_days(spark, table, asked).collect())
+    monkeypatch.setattr(tables, "MANY_DAYS", 1)
+    assert few == sorted(r.ticket_id for r in tables.read_days(spark, table, asked).collect()) == ["b", "b", "c", "c"]
+    other = tables.read_days(spark, table, asked, holds=lambda landed: landed == "two")
+    assert sorted(r.ticket_id for r in other.collect()) == ["b", "c"]
+
+
 def test_a_table_without_notes_is_read_as_a_whole(spark, tmp_path):
     table = str(tmp_path / "tickets")
     rows = [("a", "2024-01-01", "u"), ("b", "2024-01-02", "u"), ("c", None, "u")]
