@@ -50,9 +50,10 @@ def category_bounds(rows: DataFrame, names: tuple[str, ...], bits: int = BITS) -
 def quantised(value: Column, skip: int, bounds: list[int]) -> Column:
     """A category as a cell number: equal values share a cell, cells follow the order of the values,
     and NULL has cell 0."""
-    number = _number(value, skip)
-    passed = F.size(F.filter(F.array(*map(F.lit, bounds)).cast("array<bigint>"), lambda b: b <= number))
-    return F.when(value.isNull(), 0).otherwise(passed + 1).cast("bigint")
+    limits = F.array(*map(F.lit, bounds)).cast("array<bigint>")
+    # In a one-element array, so that the number is made once and not for every bound.
+    passed = F.transform(F.array(_number(value, skip)), lambda number: F.size(F.filter(limits, lambda b: b <= number)))
+    return F.when(value.isNull(), 0).otherwise(F.element_at(passed, 1) + 1).cast("bigint")
 
 
 def magnitude(value: Column, bits: int = BITS) -> Column:
