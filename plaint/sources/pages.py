@@ -27,6 +27,12 @@ SILENT_TAGS = frozenset("rp rt script style template".split())
 _ITEMS = "array<struct<time: string, description: string>>"
 
 
+def element(markup: Column | str, tag: str) -> Column:
+    """Inside of the first element with this tag, in markup where none is nested in its own kind."""
+    found = F.regexp_extract_all(column(markup), F.lit(rf"(?is)<{tag}(?:\s[^>]*)?>(.*?)</{tag}\s*>"), F.lit(1))
+    return F.get(found, 0)
+
+
 def read_pages(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Saved pages as ``page, html``: the file's path and its content as UTF-8. Bytes that are no
     UTF-8 become replacement characters."""
