@@ -1,14 +1,15 @@
 """Text quality by votes of the nearest labelled documents in a latent-semantic space.
 
-A document is a bag of word shapes: the runs of character classes of each word, whether the word
-repeats one of the two words before it, and how many words of a block are new to it. Shapes weighted by rarity
-are projected on the leading singular vectors of the labelled sample. Each document's cosine
-products with all labelled vectors are computed in blocks, and the nearest ones vote with their
-similarity as weight.
+A document is a bag of terms of three kinds: its words, their character trigrams (both hashed), and
+the shapes of words: runs of character classes, whether a word repeats one of the two before it, and
+how many words of a block are new to it. Terms weighted by rarity are projected on the leading
+singular vectors of the labelled sample. Each document's cosine products with all labelled vectors
+are computed in blocks, and the nearest ones vote with their similarity as weight.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -18,14 +19,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plaint.llm.batches import Powers, Words, chunks, column, per_batch, small_batches
+from plaint.llm.batches import (
+    _LOWER,
+    _SPACE,
+    BATCH_ROWS,
+    Powers,
+    Words,
+    batch_rows,
+    chunks,
+    column,
+    per_batch,
+    small_batches,
+)
 
 FOLDS = 5
 HELD_OUT = 0
 # Labelled documents to learn from, per label: the bound of what is fitted and broadcast.
 SAMPLE_PER_LABEL = 1_500
-TERMS = 1_024
-DIMENSIONS = 48
+# Hashed terms of each kind.
+SHAPE_TERMS, WORD_TERMS, TRIGRAM_TERMS = 1_024, 2_048, 2_048
+TERMS = SHAPE_TERMS + WORD_TERMS + TRIGRAM_TERMS
+# Length of the words' and of the trigrams' part of a bag; that of the shapes is about as long.
+CONTENT = 1.0
+DIMENSIONS = 64
 NEIGHBOURS = 25
 # Cosines are raised to this power, so that close neighbours outvote far ones.
 SHARPNESS = 8
@@ -47,12 +63,36 @@ _REPEAT, _REPEAT_2, _NEW, _LONG = 0, 1, 2, 12
 _SHAPES = 24
 
 
+def trigrams(content: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Row and hashed term of the three bytes around each byte of a word, lower-cased; what is not
+    of a word, and what lies beyond the text, counts as a space."""
+    inside = _SPACE[content]
+    signs = np.where(inside, _LOWER[content], 32).astype(np.uint32)
+    before, after = np.full(len(signs), 32, np.uint32), np.full(len(signs), 32, np.uint32)
+    before[1:], after[:-1] = signs[:-1], signs[1:]
+    filled = bounds[:-1] < bounds[1:]
+    before[bounds[:-1][filled]] = 32
+    after[bounds[1:][filled] - 1] = 32
+    middle = np.flatnonzero(inside)
+    code = (before[middle] << np.uint32(16)) | (signs[middle] << np.uint32(8)) | after[middle]
+    mixed = (code * np.uint32(0x9E3779B1)) >> np.uint32(8)
+    row = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))[middle]
+    return row, (mixed % np.uint32(TRIGRAM_TERMS)).astype(np.int64)
+
+
+def shares(row: np.ndarray, term: np.ndarray, rows: int, terms: int) -> np.ndarray:
+    """Each row's share of each term among its terms."""
+    counts = np.bincount(row * terms + term, minlength=rows * terms).reshape(rows, terms).astype(np.float32)
+    return counts / np.maximum(counts.sum(axis=1, keepdims=True), 1)
+
+
 def bags(texts: pa.Array, powers: Powers) -> np.ndarray:
-    """One row of term weights per text: square roots of the shares of its words."""
+    """One row of term weights per text: square roots of the shares of its words and trigrams."""
     parts = []
     for first, end, content, bounds in chunks(texts):
         words = Words(content, bounds, powers, lower=True)
-        out = np.zeros((end - first, TERMS), np.float32)
+        out = np.zeros((end - first, SHAPE_TERMS), np.float32)
+        content_terms = np.zeros((end - first, WORD_TERMS + TRIGRAM_TERMS), np.float32)
         if len(words.starts):
             kinds = _CLASS[content]
             turn = np.ones(len(kinds), bool)
@@ -61,7 +101,7 @@ def bags(texts: pa.Array, powers: Powers) -> np.ndarray:
             runs = np.flatnonzero(turn)
             sums = powers.prefix(kinds[runs])
             shape = powers.between(sums, np.searchsorted(runs, words.starts), np.searchsorted(runs, words.ends))
-            term = _SHAPES + (shape % np.uint64(TERMS - _SHAPES)).astype(np.int64)
+            term = _SHAPES + (shape % np.uint64(SHAPE_TERMS - _SHAPES)).astype(np.int64)
             row = np.searchsorted(words.rows, np.arange(len(words.starts)), side="right") - 1
             np.add.at(out, (row, term), 1)
             hashes = words.hashes
@@ -80,7 +120,10 @@ def bags(texts: pa.Array, powers: Powers) -> np.ndarray:
             share = np.minimum(10 * np.bincount(block[order][new]) // held, 9)
             np.add.at(out, (row[place % BLOCK_WORDS == 0], _NEW + share), held)
             out /= np.maximum(np.diff(words.rows), 1)[:, None]
-        parts.append(np.sqrt(out))
+            word = (hashes % np.uint64(WORD_TERMS)).astype(np.int64)
+            content_terms[:, :WORD_TERMS] = shares(row, word, end - first, WORD_TERMS)
+            content_terms[:, WORD_TERMS:] = shares(*trigrams(content, bounds), end - first, TRIGRAM_TERMS)
+        parts.append(np.hstack([np.sqrt(out), CONTENT * np.sqrt(content_terms)]))
     return np.concatenate(parts) if parts else np.zeros((0, TERMS), np.float32)
 
 
@@ -158,17 +201,17 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, doc_id: str, text: str,
             return {
                 "doc_id": column(batch, "doc_id"),
                 "label": column(batch, "label"),
-                "bag": [row.astype(np.float16).tobytes() for row in found],
+                "bag": [zlib.compress(row.astype(np.float16).tobytes(), 1) for row in found],
             }
 
         yield from per_batch(schema, bag_rows)(batches)
 
-    small_batches(docs.sparkSession)
-    found = rows.mapInArrow(work, "doc_id long, label int, bag binary").dropDuplicates(["doc_id"]).toArrow()
+    with batch_rows(docs.sparkSession, BATCH_ROWS):
+        found = rows.mapInArrow(work, "doc_id long, label int, bag binary").dropDuplicates(["doc_id"]).toArrow()
     found = found.sort_by("doc_id")
     if not found.num_rows:
         return np.zeros((0, TERMS), np.float32), np.zeros(0)
-    joined = np.frombuffer(b"".join(found["bag"].to_pylist()), np.float16).reshape(-1, TERMS)
+    joined = np.frombuffer(b"".join(map(zlib.decompress, found["bag"].to_pylist())), np.float16).reshape(-1, TERMS)
     return joined.astype(np.float32), found["label"].to_numpy().astype(np.float64)
 
 

@@ -6,6 +6,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from plaint.llm import language, quality
@@ -28,6 +29,36 @@ def test_held_out_quality(spark):
     assert len(held) > 40 and sum(p == q for p, q in held) / len(held) > 0.93
 
 
+def test_words_tell_texts_of_one_shape_apart(spark, docs):
+    """Junk of plain words: both labels have five-letter lower-case words, from different vocabularies."""
+    random.seed(6)
+    words = ["".join(random.choices("abcdefghijkl", k=5)) for _ in range(240)]
+    kinds = [words[:120], words[120:]]
+    rows = [" ".join(random.choices(kinds[i % 2], k=random.randint(30, 300))) for i in range(400)]
+    labels = [(i, i % 2, 0) for i in range(400)]
+    answer = quality.quality_scores(docs(rows), labels_frame(spark, labels)).collect()
+    held = [r.predicted == r.doc_id % 2 for r in answer if r.held_out]
+    assert len(held) > 50 and sum(held) / len(held) > 0.93
+
+
+def test_terms_of_a_bag():
+    powers = quality.Powers()
+    texts = ["The cat, the CAT", "the cat, the cat", "eht tac, eht tac", "", None, "the cat, the cat"]
+    one, lower, turned, empty, null, again = quality.bags(pa.array(texts), powers)
+    content = slice(quality.SHAPE_TERMS, None)
+    assert np.array_equal(one[content], lower[content]) and not np.array_equal(one, lower)
+    assert not np.array_equal(lower[content], turned[content])
+    assert np.array_equal(lower[: quality.SHAPE_TERMS], turned[: quality.SHAPE_TERMS])
+    assert not empty.any() and not null.any() and np.array_equal(lower, again)
+    # Trigrams do not reach into the texts before and after.
+    alone = quality.bags(pa.array(["the cat, the cat"]), powers)[0]
+    assert np.array_equal(alone, lower)
+    row, term = quality.trigrams(np.frombuffer(b"ab c\xc3\xa9", np.uint8), np.array([0, 4, 6]))
+    assert row.tolist() == [0, 0, 0, 1, 1]
+    codes = [b" ab", b"ab ", b" c ", b" \xc3\xa9", b"\xc3\xa9 "]
+    assert term.tolist() == [((int.from_bytes(c, "big") * 0x9E3779B1) % 2**32 >> 8) % quality.TRIGRAM_TERMS for c in codes]
+
+
 def test_votes_are_exact_cosine_neighbours():
     random = np.random.default_rng(1)
     rows = random.random((300, quality.TERMS)).astype(np.float32)
