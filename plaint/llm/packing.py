@@ -21,7 +21,7 @@ from plaint.llm.batches import column, small_batches
 
 WINDOW = 2_048
 END_ID = 1
-# Open windows that a task holds (up to 16 MB of ids). Beyond it they are closed by cutting pieces.
+# Open windows that a task holds (up to 16 MB of ids). Beyond it the emptiest half fills the others.
 MOST_OPEN = 2_048
 PIECES_DDL = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -73,6 +73,8 @@ class Windows:
     levels: np.ndarray = field(init=False)
     open: dict[int, list[list[Piece]]] = field(default_factory=dict)
     n_open: int = 0
+    # Pieces that were taken out of the window in which they had been placed.
+    moved: int = 0
     rows: list[tuple] = field(default_factory=list)
 
     def __post_init__(self) -> None:
@@ -116,7 +118,7 @@ class Windows:
         self.levels[level + size] += 1
         self.n_open += 1
         if self.n_open > self.most_open:
-            self.finish(last=False)
+            self.drain(self.most_open // 2)
 
     def close(self, pieces: list[Piece]) -> None:
         offset = 0
@@ -126,29 +128,47 @@ class Windows:
             offset += len(p.ids)
         self.first_sequence += 1
 
-    def finish(self, last: bool = True) -> None:
-        """Close all open windows: fullest first, and the emptiest are cut up to fill the others."""
+    def drain(self, most: int) -> None:
+        """Leave at most so many windows open: the emptiest are given up piece by piece, whole where
+        they fit and else cut, to fill the fullest. Pieces of all other windows stay where they are."""
         rest = [w for level in sorted(self.open, reverse=True) for w in self.open[level]]
         self.open.clear()
         self.levels[:] = 0
+        first, given = 0, []
+        while first < len(rest) and len(rest) - first + bool(given) > most:
+            pieces = rest[first]
+            room = self.window - sum(len(p.ids) for p in pieces)
+            while room and (given or len(rest) - first > 1):
+                if not given:
+                    given = rest.pop()
+                    self.moved += len(given)
+                piece = given.pop()
+                pieces.append(Piece(piece.doc_id, piece.start, piece.doc_tokens, piece.ids[:room]))
+                if room < len(piece.ids):
+                    given.append(Piece(piece.doc_id, piece.start + room, piece.doc_tokens, piece.ids[room:]))
+                room -= len(pieces[-1].ids)
+            if room:
+                break
+            self.close(pieces)
+            first += 1
+        rest = rest[first:]
+        if given:
+            rest.append(given)
+        for pieces in rest:
+            level = sum(len(p.ids) for p in pieces)
+            self.open.setdefault(level, []).append(pieces)
+            self.levels[level] += 1
+        self.n_open = len(rest)
+
+    def finish(self) -> None:
+        """Close all open windows; at most one is not full."""
+        self.drain(0)
+        for windows in self.open.values():
+            for pieces in windows:
+                self.close(pieces)
+        self.open.clear()
+        self.levels[:] = 0
         self.n_open = 0
-        flat = [piece for pieces in rest for piece in pieces]
-        current, room = [], self.window
-        for piece in flat:
-            at = 0
-            while at < len(piece.ids):
-                take = min(room, len(piece.ids) - at)
-                current.append(Piece(piece.doc_id, piece.start + at, piece.doc_tokens, piece.ids[at : at + take]))
-                at, room = at + take, room - take
-                if not room:
-                    self.close(current)
-                    current, room = [], self.window
-        if current and last:
-            self.close(current)
-        elif current:
-            level = self.window - room
-            self.open[level] = [current]
-            self.levels[level] = self.n_open = 1
 
     def taken(self) -> pa.RecordBatch:
         columns = list(zip(*self.rows)) if self.rows else [[] for _ in PIECES]
@@ -166,8 +186,8 @@ def pack_sequences(
     """One row per piece: which ids of which document stand where in which sequence.
 
     Every document ends in id 1, so a null or empty text is one id. Sequences are full but for the
-    last one of each input partition: when its documents are through, its partially filled windows
-    are joined by cutting pieces. Sequence ids are unique over all tasks and the same when a task
+    last one of each input partition: when its documents are through, pieces of its emptiest windows
+    fill the fullest ones, cut where they do not fit. Sequence ids are unique over all tasks and the same when a task
     is repeated on the same rows. Repeated rows and null ids are packed like any other. An empty
     table gives no piece. Other columns are ignored.
     """

@@ -83,6 +83,35 @@ def test_few_open_windows(docs):
     assert sum(n < 100 for n in lengths) <= 1
 
 
+def test_only_pieces_of_the_emptiest_windows_move():
+    windows = packing.Windows(0, 100)
+    for i, size in enumerate([90, 70, 45, 35]):
+        piece = packing.Piece(i, 0, size, np.full(size, i, np.uint32))
+        windows.open[size] = [[piece]]
+        windows.levels[size] = 1
+    windows.n_open = 4
+    windows.drain(3)
+    # The smallest fills the largest, and what is left of it stays open beside the others.
+    assert {r[5]: r[6] + r[2] for r in windows.rows} == {0: 100} and windows.moved == 1
+    assert sorted(windows.open) == [25, 45, 70] and windows.n_open == windows.levels.sum() == 3
+    windows.finish()
+    ends = {}
+    for doc_id, start, length, _, _, sequence, offset in windows.rows:
+        ends[sequence] = max(ends.get(sequence, 0), offset + length)
+    assert sorted(ends.values()) == [40, 100, 100] and windows.n_open == 0 and not windows.open
+    spans = sorted((r[0], r[1], r[2]) for r in windows.rows)
+    assert {d: sum(n for k, _, n in spans if k == d) for d in range(4)} == {0: 90, 1: 70, 2: 45, 3: 35}
+
+
+def test_most_pieces_stay_where_the_squares_put_them():
+    windows = packing.Windows(0)
+    random.seed(8)
+    for i in range(6_000):
+        windows.add(i, np.zeros(min(int(random.lognormvariate(5.5, 1)) + 1, 20_000), np.uint32))
+    windows.finish()
+    assert windows.moved < 0.1 * len(windows.rows)
+
+
 def test_level_of_the_smallest_sum_of_squares():
     random.seed(4)
     for _ in range(300):
