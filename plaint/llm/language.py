@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from plaint.llm.batches import chunks, column, per_batch, small_batches
@@ -173,12 +173,13 @@ def training_windows(docs: DataFrame, doc_id: str, text: str, lang: str) -> tupl
     rows = docs.selectExpr(f"`{doc_id}` as doc_id", f"`{lang}` as lang")
     rows = rows.filter(f"lang is not null and doc_id is not null and {fold('doc_id', FOLDS)} != {HELD_OUT}")
     counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(256).collect()
-    chosen, share = None, max(1, SAMPLE_DOCS // max(1, len(counts)))
-    for name in sorted(r["lang"] for r in counts):
-        part = rows.filter(F.col("lang") == name).orderBy(F.xxhash64("doc_id"), "doc_id").limit(share)
-        chosen = part if chosen is None else chosen.unionByName(part)
-    if chosen is None:
+    if not counts:
         return np.zeros((0, WINDOW_BYTES), np.uint8), np.zeros(0, np.int64), []
+    share = max(1, SAMPLE_DOCS // len(counts))
+    # One scan for all languages; each task leaves out what is beyond the share before the shuffle.
+    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    chosen = rows.filter(F.col("lang").isin([r["lang"] for r in counts]))
+    chosen = chosen.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= share).drop("place")
     schema = pa.schema([("doc_id", pa.int64()), ("lang", pa.string()), ("part", pa.int32()), ("window", pa.binary())])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
