@@ -24,7 +24,7 @@ def central_comments(
     """``cluster, summary``: the comment whose vector is closest to the mean of its cluster.
 
     Means and minima are combined before the shuffle. Distances are compared to 9 decimals, and
-    the id decides between equal ones.
+    the id decides between equal ones, rows without an id last.
     """
     means = cluster_means(df, key, vector)
     rows = df.filter(F.col(vector).isNotNull()).select(key, identity, "comment", vector)
@@ -32,7 +32,9 @@ def central_comments(
     ranked = rows.join(means, key).select(
         key,
         text.or_blank("comment").alias("comment"),
-        F.struct(F.round(distance, 9).alias("distance"), identity).alias("rank"),
+        F.struct(
+            F.round(distance, 9).alias("distance"), F.col(identity).isNull().alias("unnamed"), identity
+        ).alias("rank"),
     )
     return ranked.groupBy(key).agg(F.min_by("comment", "rank").alias("summary"))
 

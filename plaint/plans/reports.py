@@ -32,15 +32,20 @@ def dashboard_columns(clustered: DataFrame, keep: Sequence[str] = ()) -> DataFra
 
 
 def dashboard_scan(
-    clustered: DataFrame, n: int = DASHBOARD_ROWS, direct: int = topn.DIRECT
+    clustered: DataFrame, n: int | None = DASHBOARD_ROWS, direct: int = topn.DIRECT
 ) -> DataFrame:
-    """The 11 columns of the reports for the newest rows; vectors are not read."""
-    return topn.newest(dashboard_columns(clustered), n, ties=("id",), direct=direct)
+    """The 11 columns of the reports for the newest rows, or for all rows, in no order, when n is
+    None; vectors are not read."""
+    columns = dashboard_columns(clustered)
+    return columns if n is None else topn.newest(columns, n, ties=("id",), direct=direct)
 
 
-def load_dashboard(clustered: DataFrame, n: int = DASHBOARD_ROWS) -> DataFrame:
-    """The dashboard rows, persisted for the reports that share them (at most n narrow rows)."""
-    return dashboard_scan(clustered, n).persist(StorageLevel.MEMORY_AND_DISK)
+def load_dashboard(clustered: DataFrame, n: int | None = DASHBOARD_ROWS) -> DataFrame:
+    """The dashboard rows, persisted for the reports that share them (at most n narrow rows).
+
+    All rows (n is None) are not persisted: each report then reads the columns that it shows."""
+    rows = dashboard_scan(clustered, n)
+    return rows if n is None else rows.persist(StorageLevel.MEMORY_AND_DISK)
 
 
 @dataclass

@@ -3,7 +3,9 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
+from plaint.checks import queries
 from plaint.plans import reports
 from plaint.schemas import COMPONENTS, DASHBOARD_COLUMNS
 
@@ -89,3 +91,21 @@ def test_reports_of_an_empty_table(clustered):
     report = reports.cluster_report(empty)
     assert report.bars.collect() == report.scatter.collect() == report.samples.collect() == []
     assert reports.map_report(empty, [1]).points.collect() == []
+
+
+def test_report_queries_take_all_rows(spark, monkeypatch):
+    monkeypatch.setattr(reports.load_dashboard, "__defaults__", (5,))
+    monkeypatch.setattr(queries, "_DASHBOARDS", {})
+    sf_dir = "/root/testdata/sf0.001"
+    assert queries.QUERIES["map_report_counts"](spark, sf_dir).first().total_points == 200
+    assert queries.QUERIES["cluster_report_scatter"](spark, sf_dir).count() == 200
+
+
+def test_whole_dashboard(clustered):
+    assert reports.load_dashboard(clustered, n=None).count() == 60
+
+
+def test_a_named_ticket_comes_before_an_equal_one_without_id(dashboard):
+    one = dashboard.filter("id = 't7'")
+    both = one.withColumn("id", F.lit(None).cast("string")).withColumn("comment", F.lit("no id")).union(one)
+    assert reports.cluster_samples(both).first().summary == "comment 7"
