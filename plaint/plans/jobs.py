@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -41,10 +41,10 @@ class Vectorized:
     rejects: DataFrame | None
 
 
-def _staged(rows: DataFrame, purpose: str) -> tuple[DataFrame, str]:
-    """Rows as a table in the shared folder, and where it is."""
+def _staged(rows: DataFrame, purpose: str, by: Sequence[str] = ()) -> tuple[DataFrame, str]:
+    """Rows as a table in the shared folder, with a folder per value of ``by``, and where it is."""
     path = scratch_dir(rows.sparkSession, purpose)
-    rows.write.parquet(path)
+    rows.write.option("compression", "zstd").partitionBy(*by).parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path), path
 
 
@@ -54,36 +54,40 @@ def _vectorize(
     fetcher: Callable[[str], bytes] | None,
     table: str,
     landed: str,
+    capped: bool = False,
     **options,
 ) -> Vectorized:
     """Vectors of ``todo`` into the table, in place of what an earlier run of ``landed`` wrote.
 
     Tickets that other partitions of the table hold are left out first; only for the others photos
-    are fetched or embedded. What is left to do and the results are staged once in the shared folder:
-    a lost executor does not run the models or the downloads a second time. Rejects stay there as a
-    table; the other staged copies go. With no vector, a first run writes nothing and a repeated one
-    empties its partition.
+    are fetched or embedded. What is left to do is staged in the shared folder where it took more than
+    a scan (``capped``: an order), and photos and results always are: a lost executor does not run the
+    models or the downloads a second time. Rejects stay there as a table; the other staged copies go.
+    With no vector, a first run writes nothing and a repeated one empties its partition.
     """
     if photos is None and fetcher is None:
         raise ValueError("give a photo table or a fetcher")
     spark = todo.sparkSession
-    todo, todo_at = _staged(tables.not_in_table(todo, table, landed), "todo")
-    done_with = [todo_at]
+    left, done_with = tables.not_in_table(todo, table, landed), []
+    if capped or left is not todo:
+        left, left_at = _staged(left, "todo")
+        done_with.append(left_at)
+    todo = left
     if photos is None:
         photos, photos_at = _staged(fetch_photos(todo, fetcher), "photos")
         done_with.append(photos_at)
-    staged, staged_at = _staged(embed.vectorize_tickets(todo, photos, **options), "vectors")
-    done_with.append(staged_at)
-    accepted = F.col("reject_reason").isNull()
+    found = embed.vectorize_tickets(todo, photos, **options)
+    found = found.withColumn("accepted", F.col("reject_reason").isNull())
+    staged, staged_at = _staged(found, "vectors", ["accepted"])
     counts = staged.agg(
-        F.count(F.lit(1)).alias("fetched"), F.count_if(accepted).alias("accepted")
+        F.count(F.lit(1)).alias("fetched"), F.count_if("accepted").alias("accepted")
     ).first()
-    rejects = None
-    if counts.fetched:
-        rejects, _ = _staged(staged.filter(~accepted).drop("vector"), "rejects")
+    # The folder of the accepted rows goes, that of the others is the table of rejects.
+    rejects = staged.filter(~F.col("accepted")).drop("vector", "accepted") if counts.fetched else None
+    done_with.append(f"{staged_at}/accepted=true" if counts.fetched else staged_at)
     written = 0
     if counts.accepted or tables.exists(spark, tables.landed_folder(table, landed)):
-        written = tables.append_vectors(staged.filter(accepted), table, landed)
+        written = tables.append_vectors(staged.filter("accepted"), table, landed)
     for path in done_with:
         tables.remove(spark, path)
     return Vectorized(counts.fetched, written, rejects)
@@ -109,7 +113,7 @@ def daily_vectorize(
     """
     read = tables.read_tickets if by_date else tables.read_landed
     todo = cap_rows(has_value(read(spark, tickets, ds), ["photo", "ticket_id"]), max_rows)
-    return _vectorize(todo, photos, fetcher, table, ds, **options)
+    return _vectorize(todo, photos, fetcher, table, ds, capped=max_rows is not None, **options)
 
 
 def backfill_vectors(

@@ -31,6 +31,8 @@ DAYS = "_days"
 NO_DAY = "__HIVE_DEFAULT_PARTITION__"
 # Beyond so many dates, all folders are listed by Spark, in parallel, and not those of the notes one by one.
 MANY_DAYS = 100
+# Rows of a vector table up to which their hashes are broadcast to the tickets (about 20 MB).
+BROADCAST_HELD = 250_000
 # Between an export and the batch of a stream that read some of its files.
 STREAMED = ".stream-"
 
@@ -196,8 +198,9 @@ def not_in_table(todo: DataFrame, path: str, landed: str) -> DataFrame:
     """Rows of ``todo`` that no other export's partition of a vector table holds already.
 
     A row is known by all its ticket columns, so rows of other dates cannot hold it: only the dates of
-    ``todo`` are read. Rows under ``landed`` itself do not count, since this run replaces them. Both
-    sides are narrow hashes in the shuffle; ids repeat as they are.
+    ``todo`` are read. Rows under ``landed`` itself do not count, since this run replaces them; ids repeat
+    as they are. Held rows are narrow hashes. Up to ``BROADCAST_HELD`` of them go to where the tickets are
+    read, and no ticket is shuffled; with none, ``todo`` itself is returned.
     """
     spark = todo.sparkSession
     if not exists(spark, path):
@@ -206,8 +209,13 @@ def not_in_table(todo: DataFrame, path: str, landed: str) -> DataFrame:
     # One row per date.
     days = [row.day for row in todo.select(typing.day("timestamp").alias("day")).distinct().collect()]
     held = read_days(spark, path, days, VECTOR_SCHEMA, holds=lambda other: other != landed)
+    rows = held.limit(BROADCAST_HELD + 1).count()
+    if not rows:
+        return todo
     key = F.struct(F.xxhash64(*names).alias("a"), F.hash(*names).alias("b"))
     held = held.select(key.alias("_row")).distinct()
+    if rows <= BROADCAST_HELD:
+        held = F.broadcast(held)
     return todo.withColumn("_row", key).join(held, "_row", "left_anti").drop("_row")
 
 

@@ -184,3 +184,48 @@ def test_export_of_a_path(rows):
     paths = ["s3://b/raw/2024-01-01/x_data.csv", "/2024-01-01/2024-01-02/f", "/raw/day/2024-01-01.csv", None]
     assert rows(export_of(F.col("x")), paths) == ["2024-01-01", "2024-01-02", None, None]
     assert rows(export_of(F.col("x"), r"/raw/([^/]+)/"), ["/raw/a b/2024-01-01/f"]) == ["a b"]
+
+
+def test_a_job_copies_only_what_is_costly(spark, tmp_path, monkeypatch):
+    table, vectors, staged = str(tmp_path / "tickets"), str(tmp_path / "vectors"), []
+    rows = [("a", "2024-01-01", "u1"), ("b", "2024-01-02", "u2"), ("c", "2024-01-02", "none")]
+    tables.append_tickets(tickets(spark, rows), table, "x")
+    write = jobs._staged
+
+    def noted(frame, purpose, *by):
+        found, path = write(frame, purpose, *by)
+        staged.append((purpose, Path(path)))
+        return found, path
+
+    monkeypatch.setattr(jobs, "_staged", noted)
+    photos = shown(spark, ["u1", "u2"])
+    for _ in range(2):
+        done = jobs.backfill_vectors(spark, table, photos, vectors, "2024-01-01")
+        assert (done.fetched, done.written) == (3, 2)
+        assert [r.ticket_id for r in done.rejects.collect()] == ["c"]
+    assert [purpose for purpose, _ in staged] == ["vectors", "vectors"]
+    assert [p.name for p in staged[0][1].glob("accepted=*")] == ["accepted=false"]
+    # Another run over the same days has to leave tickets out: what is left is staged.
+    assert jobs.daily_vectorize(spark, table, photos, vectors, "2024-01-02", by_date=True).written == 0
+    assert [purpose for purpose, _ in staged[2:]] == ["todo", "vectors"]
+
+
+@pytest.mark.parametrize("most", [tables.BROADCAST_HELD, 1])
+def test_few_held_rows_are_broadcast(spark, tmp_path, most, monkeypatch):
+    monkeypatch.setattr(tables, "BROADCAST_HELD", most)
+    table = str(tmp_path / "vectors")
+    every = [(f"t{n}", "2024-01-01", "u") for n in range(9)]
+    with_vectors = tickets(spark, every).withColumn("vector", F.array(F.lit(1.0)))
+    tables.append_vectors(with_vectors, table, "one")
+    todo = tickets(spark, [*every[:5], ("new", "2024-01-01", "u")])
+    assert tables.not_in_table(todo, table, "one") is todo
+    left = tables.not_in_table(todo, table, "two")
+    assert [r.ticket_id for r in left.collect()] == ["new"]
+    plan = left._jdf.queryExecution().optimizedPlan().toString()
+    assert ("strategy=broadcast" in plan) == (most > 1)
+
+
+def test_tickets_are_hashed_to_their_photos_without_a_sort(spark):
+    found = embed.vectorize_tickets(tickets(spark, [("a", "2024-01-01", "u1")]), shown(spark, ["u1"]))
+    plan = found._jdf.queryExecution().sparkPlan().toString()
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
