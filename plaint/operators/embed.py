@@ -25,6 +25,7 @@ Factory = Callable[[], Embedder]
 TEXT_WIDTH = 64
 PHOTO_WIDTH = 64
 BATCH = 128  # values per call of an embedder
+CHARS = 1_000_000  # characters whose trigrams are counted at once (about 60 bytes each)
 # Distinct urls of tickets up to which their hashes are broadcast (8 MB of hashes).
 BROADCAST_URLS = 1_000_000
 
@@ -40,9 +41,12 @@ def _unit_rows(owner: np.ndarray, slots: np.ndarray, rows: int, width: int) -> n
 
 def trigram_embedder(width: int = TEXT_WIDTH) -> Factory:
     """Counts of hashed character trigrams of the whole text (with a space at each end), for all
-    texts of a call at once."""
+    texts of a call at once, or of half a call where texts are long."""
 
     def embed(values: list[str]) -> np.ndarray:
+        if len(values) > 1 and sum(map(len, values)) > CHARS:
+            half = len(values) // 2
+            return np.concatenate([embed(values[:half]), embed(values[half:])])
         joined = "".join(f" {value} " for value in values)
         code = np.frombuffer(joined.encode("utf-32-le", "replace"), np.uint32).astype(np.int64)
         slots = (code[:-2] * 961 + code[1:-1] * 31 + code[2:]) % width
@@ -106,13 +110,13 @@ def embed(
     def kernel(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         embedder = factory()
         for batch in batches:
-            values = batch.to_pylist()
-            given = [i for i, value in enumerate(values) if value is not None]
-            vectors: list = [None] * len(values)
-            errors: list = [None] * len(values)
+            given = np.flatnonzero(batch.is_valid().to_numpy(zero_copy_only=False))
+            vectors: list = [None] * len(batch)
+            errors: list = [None] * len(batch)
             for start in range(0, len(given), batch_size):
+                # Only the values of a call are Python objects: an Arrow batch has thousands.
                 chunk = given[start : start + batch_size]
-                results = _embed_values(embedder, [values[i] for i in chunk])
+                results = _embed_values(embedder, batch.take(pa.array(chunk)).to_pylist())
                 for i, (found, error) in zip(chunk, results):
                     vectors[i], errors[i] = found, error
             yield pa.StructArray.from_arrays(
@@ -215,7 +219,8 @@ def vectorize_tickets(
     best = F.min(F.struct(F.col("_image").isNull().alias("failed"), "_image", "_image_error"))
     seen = seen.groupBy("photo").agg(best.alias("best")).select("photo", "best._image", "best._image_error")
 
-    joined = left_join(tickets, [seen], "photo", ["ticket_id", "timestamp"])
+    # One vector a url: hashed, so that the tickets with their texts need not be sorted.
+    joined = left_join(tickets, [seen.hint("shuffle_hash")], "photo", ["ticket_id", "timestamp"])
     reason = (
         F.when(~present("ticket_id"), NO_ID)
         .when(~present("photo"), NO_URL)

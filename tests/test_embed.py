@@ -3,6 +3,7 @@ from __future__ import annotations
 import hashlib
 import sys
 import time
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -218,3 +219,26 @@ def test_empty_input(frames):
     tickets, photos = frames
     assert embed.vectorize_tickets(tickets.limit(0), photos).collect() == []
     assert embed.vectorize_tickets(tickets, photos.limit(0)).filter(F.col("vector").isNotNull()).count() == 0
+
+
+def test_long_texts_of_a_call_are_counted_in_parts(monkeypatch):
+    model, values = embed.trigram_embedder()(), ["abc" * n + "\u00e9" for n in range(40_000, 40_064)]
+    tracemalloc.start()
+    found = model(values)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 150e6
+    monkeypatch.setattr(embed, "CHARS", 10**9)
+    assert np.array_equal(found, model(values))
+
+
+def test_batches_are_not_made_python_objects_as_a_whole(spark, frames):
+    """Calls still get ``batch_size`` given values each, and NULLs stay NULL."""
+
+    def factory():
+        return lambda values: [[float(len(values))] for _ in values]
+
+    rows = spark.createDataFrame([(n, None if n % 3 == 0 else "x") for n in range(30)], "n int, x string").coalesce(1)
+    found = embed.embed(rows, "x", "v", factory, batch_size=8).collect()
+    assert [r.v for r in found if r.n % 3 == 0] == [None] * 10
+    assert [r.v[0] for r in found if r.v] == [8.0] * 16 + [4.0] * 4
