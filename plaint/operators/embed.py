@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from plaint.functions import text as texts
 from plaint.functions import vector
-from plaint.operators.filters import NO_BYTES, NO_ID, NO_URL, present
+from plaint.operators.filters import NO_BYTES, NO_ID, NO_URL, embed_guard, present
 from plaint.operators.joins import left_join
 
 Embedder = Callable[[list], Sequence]
@@ -195,6 +195,33 @@ def photos_of(tickets: DataFrame, photos: DataFrame, most: int = BROADCAST_URLS)
     return named.join(hashes, "_wanted", "left_semi").select(*photos.columns)
 
 
+def split_by_photo(
+    tickets: DataFrame, photos: DataFrame, most: int = BROADCAST_URLS
+) -> tuple[DataFrame, DataFrame | None]:
+    """Tickets whose url a photo table lists, and the others; all and None beyond ``most`` such urls.
+
+    Only urls are shuffled: the hashes of those on both sides go to where tickets are read. A ticket that
+    shares a hash with another url stays with the first. ``tickets`` are read for each part, so they must
+    be the same rows every time, as those of a table are.
+    """
+    asked, listed = (
+        df.filter(present(url)).select(F.xxhash64(url).alias("_known"))
+        for df, url in ((tickets, "photo"), (photos, "url"))
+    )
+    known = asked.distinct().join(listed, "_known", "left_semi")
+    if known.limit(most + 1).count() > most:
+        return tickets, None
+    keyed = tickets.withColumn("_known", F.xxhash64("photo"))
+    named, others = (keyed.join(F.broadcast(known), "_known", how).drop("_known") for how in ("left_semi", "left_anti"))
+    return named.select(*tickets.columns), others.select(*tickets.columns)
+
+
+def without_vector(tickets: DataFrame) -> DataFrame:
+    """What ``vectorize_tickets`` gives for tickets that have no photo: a reason, and no vector."""
+    guarded = embed_guard(tickets.withColumn("_content", F.lit(b"")), "_content")
+    return guarded.select(*tickets.columns, F.lit(None).cast("array<double>").alias("vector"), "reject_reason")
+
+
 def vectorize_tickets(
     tickets: DataFrame,
     photos: DataFrame,

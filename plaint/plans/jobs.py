@@ -44,7 +44,7 @@ class Vectorized:
 def _staged(rows: DataFrame, purpose: str, by: Sequence[str] = ()) -> tuple[DataFrame, str]:
     """Rows as a table in the shared folder, with a folder per value of ``by``, and where it is."""
     path = scratch_dir(rows.sparkSession, purpose)
-    rows.write.option("compression", "zstd").partitionBy(*by).parquet(path)
+    rows.write.options(**tables.COMPRESSED).partitionBy(*by).parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path), path
 
 
@@ -62,7 +62,7 @@ def _vectorize(
     Tickets that other partitions of the table hold are left out first; only for the others photos
     are fetched or embedded. What is left to do is staged in the shared folder where it took more than
     a scan (``capped``: an order), and photos and results always are: a lost executor does not run the
-    models or the downloads a second time. Rejects stay there as a table; the other staged copies go.
+    models or the downloads a second time. Tickets whose photo the table does not list are not shuffled. Rejects stay there as a table; the other staged copies go.
     With no vector, a first run writes nothing and a repeated one empties its partition.
     """
     if photos is None and fetcher is None:
@@ -72,11 +72,16 @@ def _vectorize(
     if capped or left is not todo:
         left, left_at = _staged(left, "todo")
         done_with.append(left_at)
-    todo = left
+    todo, others = left, None
     if photos is None:
         photos, photos_at = _staged(fetch_photos(todo, fetcher), "photos")
         done_with.append(photos_at)
+    else:
+        # A fetcher was asked for all urls of the tickets; a photo table may lack most of them.
+        todo, others = embed.split_by_photo(todo, photos)
     found = embed.vectorize_tickets(todo, photos, **options)
+    if others is not None:
+        found = found.unionByName(embed.without_vector(others))
     found = found.withColumn("accepted", F.col("reject_reason").isNull())
     staged, staged_at = _staged(found, "vectors", ["accepted"])
     counts = staged.agg(

@@ -229,3 +229,44 @@ def test_tickets_are_hashed_to_their_photos_without_a_sort(spark):
     found = embed.vectorize_tickets(tickets(spark, [("a", "2024-01-01", "u1")]), shown(spark, ["u1"]))
     plan = found._jdf.queryExecution().sparkPlan().toString()
     assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+@pytest.mark.parametrize("most", [embed.BROADCAST_URLS, 1])
+def test_tickets_are_split_by_the_urls_of_the_photo_table(spark, most):
+    rows = [("a", "u1"), ("a", "u1"), ("b", "u2"), ("c", "gone"), ("d", None), ("e", ""), (None, "u1"), (None, "gone"), ("", None)]
+    todo = tickets(spark, [(i, "2024-01-01", photo) for i, photo in rows])
+    photos = shown(spark, ["u1", "u2", "u3", "u2"])
+    whole = embed.vectorize_tickets(todo, photos)
+    named, others = embed.split_by_photo(todo, photos, most)
+    assert (others is None) == (most == 1)
+    parts = embed.vectorize_tickets(named, photos)
+    if others is not None:
+        assert sorted(r.photo for r in named.collect()) == ["u1", "u1", "u1", "u2"]
+        parts = parts.unionByName(embed.without_vector(others))
+    assert parts.schema.simpleString() == whole.schema.simpleString()
+    assert sorted(map(str, parts.collect())) == sorted(map(str, whole.collect()))
+
+
+def test_only_tickets_with_a_listed_photo_are_shuffled(spark, tmp_path, monkeypatch):
+    """The others, here most of them and without any photo, keep their place and get their reason."""
+    table, vectors = str(tmp_path / "tickets"), str(tmp_path / "vectors")
+    rows = [(f"t{n}", "2024-01-01", f"u{n}") for n in range(50)]
+    tables.append_tickets(tickets(spark, rows), table, "2024-01-01")
+    given = []
+    whole = embed.vectorize_tickets
+
+    def watched(todo, photos, **options):
+        given.extend(r.ticket_id for r in todo.collect())
+        return whole(todo, photos, **options)
+
+    monkeypatch.setattr(embed, "vectorize_tickets", watched)
+    done = jobs.daily_vectorize(spark, table, shown(spark, ["u7", "u8", "x"]), vectors, "2024-01-01")
+    assert sorted(given) == ["t7", "t8"]
+    assert (done.fetched, done.written) == (50, 2)
+    assert {r.reject_reason for r in done.rejects.collect()} == {"photo not available"}
+    assert sorted(r.ticket_id for r in tables.read_vectors(spark, vectors).collect()) == ["t7", "t8"]
+
+
+def test_tables_are_compressed_with_zstd(spark, tmp_path):
+    tables.append_tickets(tickets(spark, [("a", "2024-01-01", "u")]), str(tmp_path / "t"), "x")
+    assert [p for p in (tmp_path / "t").rglob("*.parquet")] == [p for p in (tmp_path / "t").rglob("*.zstd.parquet")]
